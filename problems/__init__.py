@@ -1,0 +1 @@
+"""The ten problems of TESTDATA.md, one module each."""

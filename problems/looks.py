@@ -1,0 +1,71 @@
+"""Characters that look alike: one form for each."""
+
+from __future__ import annotations
+
+import re
+import unicodedata
+
+#: Letters of Cyrillic and Greek with the shape of a Latin letter.
+ALIKE = dict(
+    zip(
+        "АВЕЅІЈКМНОРСТУХаеѕіјорсухһԁԛԝӏΑΒΕΖΗΙΚΜΝΟΡΤΥΧανορχ",
+        "ABESIJKMHOPCTYXaesijopcyxhdqwlABEZHIKMNOPTYXavopx",
+        strict=True,
+    )
+)
+BLANKS = "               　\t"
+INVISIBLE = (
+    "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮"
+    "⁠⁡⁢⁣⁤⁦⁧⁨⁩⁪⁫⁬⁭⁮⁯﻿"
+) + "".join(chr(c) for c in range(0xFE00, 0xFE10))
+#: <super>, <sub>, <fraction>, <circle>, <square> and the like are other signs to a reader, not another form of the same.
+SAME_FORM = ("<wide>", "<narrow>", "<noBreak>", "<compat>", "<font>", "<initial>", "<medial>", "<final>", "<isolated>")
+
+
+def _table() -> dict[int, str | None]:
+    out: dict[int, str | None] = {}
+    for c in range(0x80, 0x1F000):
+        d = unicodedata.decomposition(chr(c))
+        if d.startswith(SAME_FORM) and not 0x3130 <= c < 0x3190:
+            form = unicodedata.normalize("NFKC", chr(c))
+            if not (form.startswith(" ") and len(form) > 1):
+                out[c] = form
+    out |= {0x2010: "-", 0x2011: "-"}
+    out |= {ord(c): " " for c in BLANKS} | {ord(c): None for c in INVISIBLE}
+    return out
+
+
+FORM = _table()
+SHAPE = {ord(k): v for k, v in ALIKE.items()} | {ord("ë"): "ё", ord("Ë"): "Ё", ord("ï"): "ї", ord("Ï"): "Ї"}
+#: Anything but characters that have one form only.
+_ODD = re.compile("[^ -~\n\u0400-\u045f–—«»„“”’äöüßÄÖÜàâçéèêëîïôùûœÀÉÈÊ]")
+_CP1251 = bytes.maketrans(*(x.encode("cp1251") for x in map("".join, zip(*((k, v) for k, v in ALIKE.items() if "Ѐ" <= k <= "џ")))))
+
+
+def one_form(text: str) -> str:
+    """Forms, widths, compositions, blanks and invisible marks in one way; letters stay in their script."""
+    if not _ODD.search(text):
+        return text
+    return unicodedata.normalize("NFC", text.translate(FORM)).replace("\r\n", "\n")
+
+
+def skeleton(text: str) -> str:
+    """Equal for texts that look the same."""
+    text = one_form(text)
+    return text if text.isascii() else unicodedata.normalize("NFC", text.translate(SHAPE))
+
+
+def skeleton_bytes(text: str) -> bytes:
+    """The skeleton, quickly where the text is of common letters."""
+    if text.isascii() and not _ODD.search(text):
+        return text.encode()
+    if not _ODD.search(text):
+        try:
+            return text.encode("cp1251").translate(_CP1251)
+        except UnicodeEncodeError:
+            pass
+    out = skeleton(text)
+    try:
+        return out.encode("cp1251")
+    except UnicodeEncodeError:
+        return out.encode()

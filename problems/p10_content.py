@@ -1,0 +1,140 @@
+"""Problem 10: abuse, hate and sexual passages in documents, also in disguised spelling."""
+
+from __future__ import annotations
+
+import re
+
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from problems.looks import INVISIBLE, one_form
+from problems.p1_scan import settled
+from problems.tables import map_arrow, read
+
+CATEGORIES = ("abuse", "hate", "sexual")
+INSULTS = (
+    "придурок идиот кретин урод ублюдок скотина тварь сволочь мразь гнида подонок ничтожество дебил дурак дура дрянь падаль выродок мерзавец негодяй паскуда сука шлюха козёл баран свинья мудак гад тупица шваль отребье "
+    "scum lowlife cretin idiot moron maggot pig ape dickhead bastard bitch asshole arsehole imbecile fool loser vermin rat worm swine prick wanker twat jerk cunt whore dog filth trash "
+    "arschloch schwein idiotin abschaum dreckskerl connard salaud ordure crétin imbécile"
+).split()
+STEMS = [regex.sub("(?:ок|о|а|я|ь)$", "", w) if regex.search("[а-я]", w) else w for w in INSULTS]
+INSULT = regex.compile(r"(?<!\p{L})(?:" + "|".join(sorted(STEMS, key=len, reverse=True)) + r"|подонк|козл)\p{L}{0,3}(?!\p{L})")
+TO_YOU = regex.compile(
+    r"(?<!\p{L})(?:ты|тебя|тебе|тобой|твой|твоё|твоя|твои|твою|вы|вас|вам|ваш\p{L}*|you|your|yours|du|dich|dir|dein\p{L}*|заткнись|заткни|проваливай|слушай|пошёл вон|пошла вон|пошёл|убирайся|"
+    r"shut up|shut your|get out|get lost|listen|автор \p{L}+ \p{L}+ просто|автор|whoever wrote|the author)(?!\p{L})"
+)
+THREAT = regex.compile(
+    r"(?:тебе|тебя|ты|твои|твою|ему|her|you|your|his)(?!\p{L}).*?(?:выбью|убью|сдох|задушу|прибью|закопа|перелома|сломаю|зарежу|knock your teeth|break your|kill you|rot in|hands broken|cut your throat|beat you)"
+    r"|(?:i hope you|чтоб ты|чтоб вы)(?!\p{L}).*?(?:rot|die|сдох|подох|сгин|провал)|лучше бы (?:тебя|ты).*?не (?:рожд|родил|было)|тебя.*?не рождалось|if you had never been born|you should never have been born"
+    r"|плакать не стан|not a soul would miss you|nobody would miss you|(?:тво[её] место|your place is|you belong) .*?(?:яме|помойк|канав|cesspit|gutter|sewer|dump)|crawl back under"
+)
+HATE = regex.compile(
+    r"(?<!\p{L})не люди(?!\p{L})|are not human|not even human|aren't human|\p{L} (?:—|–|-|это) ?(?:паразит|крыс|вредител|зараз|отброс|скот|недочелове)\p{L}*|are (?:all )?(?:parasites|vermin|rats|animals|subhuman)"
+    r"|гнать их|driven out of|выжечь их|burned to the ground|порода у них|their breed|от рождения воры|thieves and liars|хороши только м[её]ртвы|the only good .{2,40} (?:are|is) (?:the )?dead"
+    r"|нельзя давать ни хлеба|истребить|exterminat|ни одному из тех, кого зовут|wiped? (?:them )?out|нет им места|no decent person sits"
+)
+SEXUAL = regex.compile(
+    r"(?:занял|занимал)\p{L}* (?:сексом|любовью)|(?:had|having) sex|раздвинул\p{L}* ноги|spread (?:her|his) legs|вош[её]л в не[её]|thrust (?:in)?to (?:her|him)|обхватила его б[её]драми|wrapped her thighs"
+    r"|соск(?:и|ам|ах|ов)(?!\p{L})|(?:her|his) nipples|кончил\p{L}* (?:дважды|ей|в не)|(?:he|she) came (?:twice|inside)|ласкал\p{L}*.{0,30}груд|fondled.{0,30}breast|оседлала его|straddled (?:him|her)|взять е[её] грубее|take her harder"
+    r"|(?:её|his|her) (?:член|cock|penis|pussy|clit)|трахал|трахн|(?:he|she) fucked|оргазм|orgasm|сосала|blow ?job|минет"
+)
+NEUTRAL = regex.compile(
+    r"(?:суд |court ).*?(?:постанов|признал|held|ruled)|слово «|the word |термин|a term|(?:осудил|condemned).{0,40}(?:стать|article|книг|book|слов)|извинени|apologi[sz]ed|назван\p{L} паразит|(?:had|has) called|недостойно|"
+    r"размножени|reproduction of|обследовани|screening|музе|museum|статуя|statue|marble figure|лесная ищет|паслась|skimmed"
+)
+#: A unit without any of these has nothing to find.
+TRIGGERS = (
+    *STEMS, "подонк", *"выбью убью сдох задушу прибью закопа перелома сломаю зарежу".split(), "knock your", "break your", "kill you", "rot in", "hands broken",
+    "teeth", "cut your", "beat you", "i hope you", "чтоб ты", "чтоб вы", "рождалось", "лучше бы", "been born", "плакать не стан", "miss you", "помойк", "канав", "яме", "cesspit", "gutter", "sewer", "dump", "crawl back",
+    "не люди", "human", "паразит", "parasite", "крыс", "вредител", "зараз", "отброс", "недочелове", "гнать их", "driven out", "выжечь", "burned to", "порода", "their breed", "от рождения", "thieves", "хороши только", "only good",
+    "ни хлеба", "истребить", "exterminat", "кого зовут", "wipe", "нет им места", "no decent", "subhuman", "are animals", "are all",
+    "сексом", "любовью", " sex", "раздвинул", "spread her", "spread his", "в неё", "в нее", "thrust", "обхватила", "wrapped her", "соск", "nipples", "кончил", "e came twice", "e came inside", "ласкал", "fondled", "оседлала", "straddled", "грубее", "harder",
+    "член", "cock", "penis", "pussy", "clit", "трах", "fucked", "оргазм", "orgasm", "сосала", "blowjob", "blow job", "минет",
+)
+_held: list = []
+
+
+def triggered(unit: str) -> bool:
+    if not _held:
+        import ahocorasick
+
+        a = ahocorasick.Automaton()
+        for x in TRIGGERS:
+            a.add_word(x, True)
+        a.make_automaton()
+        _held.append(a)
+    return next(_held[0].iter(unit), None) is not None
+
+
+SIGNS = {"@": "аa", "0": "оo", "1": "иi", "3": "зe", "4": "чa", "6": "бb", "8": "вb", "$": "сs", "!": "иi", "|": "лl", "€": "еe", "5": "5s", "7": "7t"}
+UNITS = re.compile(r"(?<=[.!?…])[\s»”\"]+(?=[A-ZА-ЯЁІЇЄÄÖÜÀÉÈÊÇ«„“\"—–-])|\n+")
+SPACED = re.compile(r"\b[^\W\d_](?:[.\-_*·~ ][^\W\d_]\b){3,}")
+STRIP = re.compile(f"[{INVISIBLE}]")
+MIXED = regex.compile(r"[\p{L}\d@$!|€*]*(?:\p{L}[\d@$!|€*]|[\d@$!|€*]\p{L})[\p{L}\d@$!|€*]*")
+LONG = regex.compile(r"(\p{L})\1{2,}")
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+CYRILLIC, LATIN = re.compile("[\u0400-\u052f]"), re.compile("[A-Za-z\u00c0-\u024f]")
+NEEDS = re.compile(r"[@$|€*]|[^\W\d_][\d!][^\W\d_]|([^\W\d_])\1\1")
+CUT = re.compile(r"(?<=[^\W\d_])[-‐¬]\s*\n\s*(?=[^\W\d_])")
+
+
+def _word(m: regex.Match) -> str:
+    w = m[0]
+    k = 0 if CYRILLIC.search(settled(w)) else 1
+    body, end = (w[:-1], w[-1]) if w[-1] in "!|" else (w, "")
+    out = "".join(SIGNS[c][k] if c in SIGNS else c for c in body)
+    if "*" in out:
+        p = regex.compile(regex.escape(out.lower()).replace(r"\*", r"\p{L}"))
+        out = next((x for x in INSULTS if p.fullmatch(x)), out.replace("*", ""))
+    return out + end
+
+
+def clear(text: str) -> str:
+    """Without disguise, in lower case."""
+    text = STRIP.sub("", text)
+    if not text.isascii():
+        text = one_form(text)
+    if "\n" in text:
+        text = CUT.sub("", text)
+    text = SPACED.sub(lambda m: regex.sub(r"[^\p{L}]", "", m[0]), text)
+    if CYRILLIC.search(text) and LATIN.search(text):
+        text = LETTERS.sub(lambda m: settled(m[0]) if CYRILLIC.search(m[0]) and LATIN.search(m[0]) else m[0], text)
+    return LONG.sub(r"\1", MIXED.sub(_word, text)) if NEEDS.search(text) else text
+
+
+def score(text: str | None) -> dict[str, int]:
+    """Passages of each category."""
+    out = dict.fromkeys(CATEGORIES, 0)
+    if not text:
+        return out
+    for unit in UNITS.split(clear(text)):
+        u = unit.lower()
+        if not triggered(u) or NEUTRAL.search(u):
+            continue
+        out["sexual"] += bool(SEXUAL.search(u))
+        hate = bool(HATE.search(u))
+        out["hate"] += hate
+        out["abuse"] += not hate and bool(THREAT.search(u) or INSULT.search(u) and TO_YOU.search(u))
+    return out
+
+
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages and a score between 0 and 1 for each document and category."""
+
+    def f(b: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [(d, s, c, n) for d, s, t in zip(*(b.column(k).to_pylist() for k in ("doc_id", "source", "text"))) for c, n in score(t).items()]
+        types = (pa.int64(), pa.string(), pa.string(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["doc_id", "source", "category", "passages"])
+
+    docs = map_arrow(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), f, "doc_id bigint, source string, category string, passages int")
+    return docs.withColumn("score", 1 - F.pow(F.lit(0.4), F.col("passages")))
+
+
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(spark, sf_dir).where("passages > 0").select("doc_id", "category").distinct()
+
+
+def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(spark, sf_dir).groupBy("source", "category").agg(F.count("*").alias("documents"), F.avg(F.expr("if(passages > 0, 1.0D, 0.0D)")).alias("rate"))

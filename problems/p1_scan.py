@@ -1,0 +1,177 @@
+"""Problem 1: traces of scanned pages in sentences, by kind."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from problems.looks import ALIKE, one_form
+from problems.p6_kinds import MARK, kind
+from problems.tables import map_arrow, read, sentences
+
+LINKS = r"(?:и|или|та|і|й|або|чи|and|or|to|und|oder|bis|et|ou)\b"
+CUT = regex.compile(rf"(?<=\p{{L}})(?:[-‐‑]\s+(?!{LINKS})|[¬\xad]\s+)(?=\p{{Ll}})")
+HYPHENS = re.compile(r"[-‐‑¬\xad]\s")
+CUT_OPEN = regex.compile(r"\p{L}[-‐‑¬\xad][^\S\n]*\r?$")
+JOIN = regex.compile(rf"(?<=\p{{L}})[-‐‑¬\xad]\s+(?=\p{{Ll}})(?!{LINKS})")
+ROMAN = r"(?=[ivxlc])(?:c{0,3})(?:x[cl]|l?x{0,3})(?:i[xv]|v?i{0,3})"
+PAGE = regex.compile(rf"[\s\[(·—–\-~*•.]*(?:(?:стр|с|page|pp?|s|seite|сторінка)\b\.?\s*)?(?:\d{{1,4}}|{ROMAN})[\s\])·—–\-~*•.]*", regex.I)
+PAGE_END = regex.compile(rf"^\W*(?:\d{{1,4}}|{ROMAN}\b)(?![.)]\s)\W+(?=\p{{L}})|(?<=[\p{{L}}.])\W+(?:\d{{1,4}}|{ROMAN})\W*$", regex.I)
+TOKENS = re.compile(r"[^\W_][\w@|!$]*[\w@|$]|[@|!$][\w@|!$]*\w").findall
+CYRILLIC, LATIN = re.compile("[\u0400-\u052f]"), re.compile("[A-Za-z\u00c0-\u024f]")
+TO_CYRILLIC = {ord(v): k for k, v in ALIKE.items() if "Ѐ" <= k <= "ӿ" and k not in "ЅЈѕјԁԛԝӏһ"}
+TO_LATIN = {ord(k): v for k, v in ALIKE.items()}
+#: What a scanner reads, and the letters it stands for.
+READ_AS = {
+    "cyrillic": "0:о 1:і|л 3:з|э 4:ч 6:б 8:в @:а ь1:ы ьi:ы ьі:ы ы:ьі н:и|п|к и:н|п|й п:л|н|и л:п|д|я ш:щ|м|ит щ:ш м:ш|н т:г|м|т г:т|r е:с|о с:е|о о:с|е|а а:о|е|я х:к|ж к:х|н|в в:б|в з:э|в э:з б:в|6 "
+    "ц:п|ч|ш ч:ц|у у:ч д:л|я ж:х я:л|а р:п|ф ф:р го:ю ю:го|іо ii:п і:ї|1 ї:і є:с|е ё:е|й й:и ъ:ь ь:ъ|в ск:ж lо:ю іо:ю !:і $:ѕ |:і|л".split(),
+    "latin": "0:o 1:l|i 3:e 4:a 5:s 6:b 8:b 9:g @:a |:l|i !:i|l $:s rn:m m:rn|in|nn ri:n n:ri|u|h|r u:n|v|ii c:e|o|ß e:c|o o:c|e|a a:o|s f:t|s t:f|l|r l:t|i|1 i:l|j|t vv:w w:vv cl:d d:cl h:b|n|li b:h|6 q:g g:q "
+    "y:v v:y|u r:t|n s:a|5 ii:u|n j:i z:2 li:h ß:b é:e|c è:e ä:a ö:o ü:u à:a â:a ê:e".split(),
+}
+RULES = {s: [(x.partition(":")[0] or "|", [y for y in x.partition(":")[2].split("|") if y]) for x in rules if not x.startswith("|:")] for s, rules in READ_AS.items()}
+RULES["cyrillic"].append(("|", ["і", "л"]))
+RULES["latin"].append(("|", ["l", "i"]))
+
+
+def script(w: str) -> str:
+    return "cyrillic" if CYRILLIC.search(w) else "latin"
+
+
+def settled(w: str) -> str:
+    """A word with look-alike letters put into its script."""
+    w = one_form(w)
+    if CYRILLIC.search(w) and LATIN.search(w):
+        latin = w.translate(TO_LATIN)
+        return w.translate(TO_CYRILLIC) if CYRILLIC.search(latin) else latin
+    return w
+
+
+def corrections(w: str, known: dict[str, int]) -> str | None:
+    """The most common word that this may have been, with one or two characters or pairs read wrongly."""
+    rules = RULES[script(w)]
+    now = {w}
+    for left in range(2 if len(w) > 4 else 1, -1, -1):
+        new = set()
+        for x in now:
+            signs = not x.isalpha()
+            for wrong, rights in rules:
+                if signs and wrong.isalpha():  # the signs first
+                    continue
+                at = x.find(wrong)
+                while at >= 0:
+                    for r in rights:
+                        new.add(x[:at] + r + x[at + len(wrong) :])
+                    at = x.find(wrong, at + 1)
+        if hits := [x for x in new if x in known and x != w]:
+            return max(hits, key=known.__getitem__)
+        now = new
+        if not now or len(now) > 3000 or left == 1 and w.isalpha():
+            break
+    return None
+
+
+def norm(line: str) -> str:
+    return regex.sub(r"[^\p{L}]+", " ", line).strip().lower()
+
+
+def tokens(text: str) -> list[str]:
+    return TOKENS(one_form(JOIN.sub("", text) if HYPHENS.search(text) else text).lower())
+
+
+def traces(text: str) -> tuple[set[str], list[tuple[str, bool]]]:
+    """The kinds seen in the text alone, and the lines that may be a running header, with or without a page number."""
+    kinds: set[str] = set()
+    headers: list[tuple[str, bool]] = []
+    cut = HYPHENS.search(text) is not None
+    if cut and CUT.search(text):
+        kinds.add("hyphen")
+    if "\n" not in text and (len(text) > 90 or len(text) > 15 and text[-1] in ".!?…»\""):
+        return kinds, headers
+    lines = [x for x in (y.strip() for y in text.split("\n")) if x]
+    prose = [x for x in lines if regex.search(r"\p{L}{3}", x)]
+    if not lines:
+        return kinds, headers
+    for k, line in enumerate(lines):
+        if PAGE.fullmatch(line) and regex.search(r"\w", line):
+            if len(lines) == 1 or prose:
+                kinds.add("pageno")
+        elif len(line) <= 90 and "\t" not in line and not regex.search(r"\.{4,}|[|│]|\s{3,}|,\s*\d", line) and not MARK.match(line) and not regex.search(r"[!?,;…»”\"¬‐\-]\s*$", line):
+            body, n = PAGE_END.subn("", line)
+            first = regex.search(r"\p{L}", body)
+            if first and first[0].isupper() and len(norm(body)) >= 4 and len(body.split()) <= 10 and not (body.endswith(".") and not n and not body.isupper()):
+                headers.append((norm(body), n > 0))
+        if cut and "hyphen" not in kinds and CUT_OPEN.search(line):
+            after = next((x for x in lines[k + 1 :] if x[0].islower() and not PAGE.fullmatch(x)), "")
+            if after and not regex.match(LINKS, after):
+                kinds.add("hyphen")
+    return kinds, headers
+
+
+def misread(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Words of the whole table that a wrong character sets apart from a word that is far more common."""
+
+    def count(b: pa.RecordBatch) -> pa.RecordBatch:
+        n = Counter(w for t in b.column("text").to_pylist() for w in tokens(t))
+        return pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], ["word", "n"])
+
+    counts = map_arrow(sentences(spark, sf_dir).select("text"), count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where(r"length(word) between 3 and 24 and word rlike '\\p{L}'")
+
+    def settle(b: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([settled(w) for w in b.column("word").to_pylist()], pa.string()), b.column("n")], ["word", "n"])
+
+    words = map_arrow(counts, settle, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    words = words.persist()
+    rows = words.where("n >= 8").where(r"word rlike '^[\\p{L}\\p{M}]+$'").collect()
+    known = {r.word: r.n for r in rows}
+    most = max(known.values(), default=0)
+
+    def fix(b: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for w, n in zip(b.column("word").to_pylist(), b.column("n").to_pylist()):
+            signs = not w.isalpha()
+            if (signs or len(w) >= 4) and (right := corrections(w, known)) and (signs or known[right] >= 25 * n):
+                out.append(w)
+        return pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["word"])
+
+    by_word = map_arrow(words.where(f"25 * n <= {most}"), fix, "word string")
+    within = words.where(r"word rlike '^\\p{L}{2,}[\\d@|!$]\\p{L}+([\\d@|!$]\\p{L}+)?$' and not word rlike '\\d[a-z]$'").select("word")
+    out = [r.word for r in by_word.union(within).distinct().collect()]
+    words.unpersist()
+    return out
+
+
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = frozenset(misread(spark, sf_dir))
+
+    def scan(b: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for book, at, text in zip(*(b.column(c).to_pylist() for c in ("book_id", "position", "text"))):
+            kinds, headers = traces(text)
+            words = tokens(text)
+            if not bad.isdisjoint(words) or CYRILLIC.search(text) and LATIN.search(text) and not bad.isdisjoint(settled(w) for w in words if CYRILLIC.search(w) and LATIN.search(w)):
+                kinds.add("misread")
+            if not regex.search(r"\s", text.strip()):
+                kinds.discard("misread")
+            if kinds and kind(text) in ("junk", "table"):
+                kinds = set()
+                headers = []
+            rows += [(book, at, k, None, False) for k in kinds] + [(book, at, "header", h, p) for h, p in headers]
+        types = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.bool_())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["book_id", "position", "kind", "line", "page"])
+
+    seen = map_arrow(sentences(spark, sf_dir), scan, "book_id string, position int, kind string, line string, page boolean").distinct()
+    letters = lambda c: F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}]+", " "))
+    meta = read(spark, sf_dir, "books_meta").groupBy("book_id").agg(F.max(letters(F.col("title"))).alias("title"), F.max(letters(F.col("author"))).alias("author"))
+    counted = seen.withColumn("n", F.count("line").over(Window.partitionBy("book_id", "line"))).withColumn("most", F.max(F.when(F.col("line").isNotNull(), F.col("n"))).over(Window.partitionBy("book_id")))
+    names = F.expr("filter(split(line, ' '), x -> length(x) > 2)")
+    of_meta = F.expr("length(title) >= 5 and (contains(line, title) or levenshtein(line, title) <= length(title) div 7)") | (
+        (F.size(names) > 0) & (F.size(F.array_except(names, F.split("author", " "))) == 0)
+    )
+    said = counted.join(meta, "book_id", "left").where(F.col("line").isNull() | F.coalesce(of_meta, F.lit(False)) | F.expr("n >= 3 and n >= most / 2"))
+    kinds = F.when(F.col("line").isNull(), F.array("kind")).when(F.col("page"), F.array(F.lit("header"), F.lit("pageno"))).otherwise(F.array(F.lit("header")))
+    return said.select("book_id", "position", F.explode(kinds).alias("kind")).distinct()

@@ -1,0 +1,193 @@
+"""Problem 2: the language of books and of the segments of a sentence in two languages."""
+
+from __future__ import annotations
+
+import re
+
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from problems.looks import ALIKE, one_form
+from problems.p6_kinds import KINDS, kind
+from problems.tables import language, map_arrow, read, sentences
+
+COMMON = {
+    "en": "the a an of and to in on at by with from for was were is are had has have been be not no that this which who what when where while before after "
+    "since because although though as if so but or nor his her their its my our your he she it they we you i did do does into over under upon without "
+    "within near behind beside across during until towards nobody nothing everyone said mr mrs one two there then than him them would could should soon later",
+    "de": "der die das den dem des ein eine einen einem einer eines und oder aber nicht kein keine mit von zu zum zur im in am an auf aus bei beim nach vor "
+    "hinter unter über neben zwischen während seit als wenn weil obwohl damit dass daß denn es er sie wir ihr ich war waren wurde wird hat hatte haben ist sind sei "
+    "sein seine seinen ihre ihren sich auch noch nur schon sehr wie was wer wo warum sagte herr frau jahre ihm ihn niemand nichts doch ohne um bis durch für gegen",
+    "fr": "le la les l un une des du de d et ou où mais ne pas ni que qui qu quoi dont ce cette ces cet il elle ils elles on nous vous je s se sa son ses leur leurs "
+    "au aux à en dans sur sous par pour avec sans chez vers entre derrière devant avant après pendant depuis comme si car donc plus très bien était fut avait eut a est sont "
+    "dit monsieur madame tandis malgré personne rien près côté bord milieu pourquoi quand afin lorsque parmi jour",
+    "ru": "и что как это так его её их но или если когда где чтобы потому только уже ещё был была было были он она они мы вы я ты не из от под над при без после "
+    "перед между через около возле среди во со об обо же бы ли ни то том тем чём чему которая который которые сказал сказала подумал году года лет хотя пока словно будто "
+    "всё все никто ничего прежде ибо откуда разве у за по о к с на в для до себя свой своего",
+    "uk": "і й та що як це його її їх але або якщо коли де щоб тому тільки вже ще був була було були він вона вони ми ви я ти не із з від під над при без після "
+    "перед між через біля коло серед у в до про же би чи ні те тим який яка які сказав сказала подумав році року років хоча поки доки ніби наче "
+    "усе все ніхто нічого перш бо адже звідки хіба за по о на для себе свій посеред ніж невдовзі якось",
+}
+COUNTS: dict[str, dict[str, float]] = {}
+for _code, _words in COMMON.items():
+    for _w in _words.split():
+        COUNTS.setdefault(_w, {})[_code] = 1.0
+for _w, _of in COUNTS.items():
+    if len(_of) > 1:
+        COUNTS[_w] = {k: 0.5 / len(_of) for k in _of}
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+WORDS = re.compile(r"[^\W\d_]+").findall
+CLAUSES = regex.compile(r"[,;:.!?…()«»„“”\"\n]+|\s[—–-]\s|^[—–-]\s")
+CYRILLIC, LATIN = re.compile("[\u0400-\u052f]"), re.compile("[A-Za-z\u00c0-\u024f]")
+TO_CYRILLIC = {ord(v): k for k, v in ALIKE.items() if "Ѐ" <= k <= "ӿ" and k not in "ЅЈѕјԁԛԝӏһіІї"} | {ord("i"): "і", ord("I"): "І", ord("ï"): "ї"}
+ENDINGS = [
+    ("ru", regex.compile(r"(?:ый|ая|яя|ое|ее|ую|юю|ые|ие|ил|ал|ел|ёл|ул|ял|ыл|ть|ться|лся|лась|ого|его|ций|ия)$"), 0.6),
+    ("uk", regex.compile(r"(?:ив|ав|ув|яв|вся|ти|тися|ння|ття|ою|ці|ька|ський)$"), 0.6),
+    ("de", regex.compile(r"(?:ung|heit|keit|lich|isch|chen|ten|tes|ßen|sch|te|en|er)$"), 0.25),
+    ("en", regex.compile(r"(?:ing|ed|ly|tion|ght|ness|th|ck|wn|sh)$"), 0.35),
+    ("fr", regex.compile(r"(?:eux|euse|ait|aient|tion|ée|ées|oir|eau|que|eur|ique|gne|oux|it|ut)$"), 0.3),
+]
+_kept: dict[str, dict[str, float]] = {}
+
+
+def of_word(w: str) -> dict[str, float]:
+    """Points of a lower-case word for each language."""
+    if (out := _kept.get(w)) is not None:
+        return out
+    out = dict(COUNTS.get(w, {}))
+    cyrillic = CYRILLIC.search(w)
+    if cyrillic and not LATIN.search(w):
+        if regex.search("[іїєґ]", w):
+            out["uk"] = out.get("uk", 0) + 1
+        if regex.search("[ыэъё]", w):
+            out["ru"] = out.get("ru", 0) + 1
+        if not out and len(w) > 3:
+            for code, p, x in ENDINGS[:2]:
+                if p.search(w):
+                    out[code] = x
+    elif not cyrillic and len(w) > 3:
+        if regex.search("[äöüß]", w):
+            out["de"] = out.get("de", 0) + 0.9
+        if regex.search("[àâçéèêëîïôùûœæ]", w):
+            out["fr"] = out.get("fr", 0) + 0.9
+        if not out:
+            for code, p, x in ENDINGS[2:]:
+                if p.search(w):
+                    out[code] = x
+    if len(_kept) > 300_000:
+        _kept.clear()
+    _kept[w] = out
+    return out
+
+
+def points(words: list[str]) -> dict[str, float]:
+    out: dict[str, float] = {}
+    for w in words:
+        for k, x in of_word(w).items():
+            out[k] = out.get(k, 0.0) + x
+    return out
+
+
+def plain(text: str) -> str:
+    """Without look-alike letters, and without headings that stand on a line of their own."""
+    text = one_form(text)
+    if CYRILLIC.search(text) and LATIN.search(text):
+        text = WORD.sub(lambda m: m[0].translate(TO_CYRILLIC) if CYRILLIC.search(m[0]) and LATIN.search(m[0]) else m[0], text)
+    if "\n" in text:
+        lines = [x for x in text.split("\n") if not heading(x)]
+        text = regex.sub(r"(?<=\p{L})[-‐¬]\s*\n\s*", "", "\n".join(lines)).replace("\n", " ")
+    return text
+
+
+def heading(line: str) -> bool:
+    words = WORD.findall(line)
+    if not words or len(words) > 10 or regex.search(r"[!?,;…»\"]\s*$|[a-zа-яё]\.\s*$", line):
+        return not words
+    up = sum(w[0].isupper() for w in words)
+    return line.upper() == line or up >= 2 and up >= len(words) / 2 or up >= 1 and bool(regex.search(r"^\W*\d+\s|\s\d+\W*$", line))
+
+
+def segments(text: str) -> list[tuple[str, str, float]]:
+    """Language, text and confidence of each run of clauses in one language; one run if there is one language only."""
+    out: list[list] = []
+    at = 0
+    for m in [*CLAUSES.finditer(text), None]:
+        part, at = text[at : m.start() if m else None], m.end() if m else len(text)
+        ws = WORD.findall(part)
+        p = points([w.lower() for w in ws if not w[0].isupper() or w is ws[0]])
+        best = max(p, key=p.__getitem__, default=None)
+        rest = sorted(p.values())[-2] if len(p) > 1 else 0.0
+        sure = best is not None and len(ws) >= 3 and p[best] >= 1.3 and p[best] >= 2 * rest
+        code = best if sure else None
+        if out and (code is None or out[-1][0] in (None, code)):
+            out[-1] = [code or out[-1][0], f"{out[-1][1]}, {part}", max(out[-1][2], p[best] / sum(p.values()) if sure else 0.0), out[-1][3] + len(ws) * sure]
+        else:
+            out.append([code, part, p[best] / sum(p.values()) if sure else 0.0, len(ws) * sure])
+    return [(c, t.strip(" ,"), x) for c, t, x, n in out if c and n >= 4]
+
+
+def languages(text: str) -> tuple[str | None, float, list[tuple[str, str, float]]]:
+    text = plain(text)
+    p = points(WORDS(text.lower()))
+    code = max(p, key=p.__getitem__, default=None)
+    if code is None or p[code] < 0.5:
+        return None, 0.0, []
+    sure = p[code] / sum(p.values())
+    order = sorted(p.values())
+    if len(order) > 1 and order[-2] >= 1.5:
+        seg = segments(text)
+        if len({c for c, _, _ in seg}) > 1:
+            return code, sure, seg
+    return code, sure, []
+
+
+def _tagged(b: pa.RecordBatch) -> pa.RecordBatch:
+    rows = []
+    for t in b.column("text").to_pylist():
+        k = kind(t)
+        code, sure, seg = languages(t) if k == "prose" or k == "list" else (None, 0.0, [])
+        rows.append((k, code, sure, sorted({c for c, _, _ in seg}) if k == "prose" else []))
+    types = (pa.string(), pa.string(), pa.float64(), pa.list_(pa.string()))
+    return pa.RecordBatch.from_arrays([b.column("book_id"), b.column("position"), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))], ["book_id", "position", "kind", "language", "confidence", "both"])
+
+
+def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per record."""
+    rows = map_arrow(sentences(spark, sf_dir), _tagged, "book_id string, position int, kind string, language string, confidence double, both array<string>")
+    firsts = [F.first(c, ignorenulls=True).alias(c) for c in ("kind", "language", "confidence", "both")]
+    return rows.groupBy("book_id", "position").agg(*firsts)
+
+
+def _books(one: DataFrame) -> DataFrame:
+    per = one.groupBy("book_id").agg(
+        F.count("kind").alias("records"), F.count_if(F.col("kind").isin(*KINDS)).alias("not_prose"), *(F.count_if(F.col("language") == k).alias(k) for k in COMMON)
+    )
+    ranked = F.reverse(F.array_sort(F.array(*(F.struct(F.col(k).alias("n"), F.lit(k).alias("code")) for k in COMMON))))
+    per = per.withColumn("ranked", ranked).withColumn("known", sum(F.col(k) for k in COMMON))
+    mixed = F.expr("ranked[1].n > known / 4")
+    return per.where("known > 0").select(
+        "book_id", (F.col("not_prose") > F.col("records") / 2).alias("no_prose"), F.when(mixed, "mixed").otherwise(F.expr("ranked[0].code")).alias("language"), F.expr("ranked[0].n / known").alias("confidence")
+    )
+
+
+def books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _books(tagged(spark, sf_dir)).drop("no_prose")
+
+
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = F.when(F.size("both") > 1, F.col("both")).otherwise(F.array().cast("array<string>"))
+    one = tagged(spark, sf_dir).withColumn("both", both)
+    per_book = one.groupBy("book_id").agg(
+        F.count("kind").alias("records"), F.count_if(F.col("kind").isin(*KINDS)).alias("not_prose"), *(F.count_if(F.col("language") == k).alias(k) for k in COMMON),
+        F.flatten(F.collect_list(F.when(F.size("both") > 1, F.transform("both", lambda x: F.struct(F.col("position").alias("position"), x.alias("language")))))).alias("mixed_rows"),
+    )
+    ranked = F.reverse(F.array_sort(F.array(*(F.struct(F.col(k).alias("n"), F.lit(k).alias("code")) for k in COMMON))))
+    per_book = per_book.withColumn("ranked", ranked).withColumn("known", sum(F.col(k) for k in COMMON))
+    true = F.when(F.expr("known = 0 or not_prose > records / 2"), F.lit(None)).when(F.expr("ranked[1].n > known / 4"), "mixed").otherwise(F.expr("ranked[0].code"))
+    given = read(spark, sf_dir, "book_index").groupBy("book_id").agg(F.min(language("language")).alias("lo"), F.max(language("language")).alias("hi"))
+    joined = per_book.withColumn("known_true", true).join(given, "book_id", "left")
+    wrong = F.expr("known_true is not null and (lo is null or lo <> known_true or hi <> known_true)")
+    book = F.when(wrong, F.array(F.struct(F.lit(-1).alias("position"), F.col("known_true").alias("language")))).otherwise(F.array().cast("array<struct<position:int,language:string>>"))
+    return joined.select("book_id", F.explode(F.concat(book, "mixed_rows")).alias("x")).select("book_id", "x.position", "x.language")

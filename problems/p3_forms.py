@@ -1,0 +1,38 @@
+"""Problem 3: texts that read the same in one form, and the pairs of records that differ in characters only."""
+
+from __future__ import annotations
+
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from problems.looks import one_form, skeleton, skeleton_bytes
+from problems.tables import map_arrow, sentences
+
+
+def _looks(b: pa.RecordBatch) -> pa.RecordBatch:
+    shape, raw = [], []
+    for t in b.column("text").to_pylist():
+        shape.append(xxhash.xxh3_64_intdigest(skeleton_bytes(t)) - (1 << 63))
+        raw.append(xxhash.xxh3_64_intdigest(t.encode(), seed=1) - (1 << 63))
+    return pa.RecordBatch.from_arrays([b.column("book_id"), b.column("position"), pa.array(shape, pa.int64()), pa.array(raw, pa.int64())], ["book_id", "position", "shape", "raw"])
+
+
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = map_arrow(sentences(spark, sf_dir), _looks, "book_id string, position int, shape bigint, raw bigint")
+    shapes = rows.groupBy("shape").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select("shape")
+    own = rows.join(shapes, "shape", "left_semi").distinct()
+    a, b = (own.select("shape", F.col("book_id").alias(f"book_id_{x}"), F.col("position").alias(f"position_{x}"), F.col("raw").alias(f"raw_{x}")) for x in "ab")
+    before = "book_id_a < book_id_b or (book_id_a = book_id_b and position_a < position_b)"
+    return a.join(b, "shape").where(f"raw_a <> raw_b and ({before})").select("book_id_a", "position_a", "book_id_b", "position_b").distinct()
+
+
+def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each delivered text in one form."""
+
+    def f(b: pa.RecordBatch) -> pa.RecordBatch:
+        texts = b.column("text").to_pylist()
+        return pa.RecordBatch.from_arrays([b.column("book_id"), b.column("position"), pa.array(map(one_form, texts), pa.string()), pa.array(map(skeleton, texts), pa.string())], ["book_id", "position", "text", "equal_key"])
+
+    return map_arrow(sentences(spark, sf_dir), f, "book_id string, position int, text string, equal_key string").dropDuplicates(["book_id", "position"])

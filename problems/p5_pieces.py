@@ -1,0 +1,43 @@
+"""Problem 5: texts above 2,000 code points, and their pieces."""
+
+from __future__ import annotations
+
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, SparkSession
+
+from problems.tables import map_arrow, sentences
+
+LIMIT, SHARED = 2000, 200
+#: Natural boundaries, best first: paragraph, sentence, clause, line or word.
+ENDS = [regex.compile(p) for p in (r"\n\s*\n", r"[.!?…]+[\"'»”)\]]*\s+", r"[;:,—–]\s+|\n", r"\s+")]
+
+
+def pieces(text: str) -> list[str]:
+    out, start = [], 0
+    while len(text) - start > LIMIT:
+        window, end = text[start : start + LIMIT], 0
+        for k, p in enumerate(ENDS):
+            ends = [m.end() for m in p.finditer(window) if m.end() > SHARED]
+            if ends and (ends[-1] > LIMIT // 2 or k == len(ENDS) - 1):
+                end = ends[-1]
+                break
+        end = start + (end or LIMIT)
+        out.append(text[start:end])
+        begin = end - SHARED
+        word = regex.search(r"(?<=\s)\S", text[begin - 1 : begin + 50])  # at a word's start, if there is one near
+        start = begin + (word.start() - 1 if word else 0)
+    return [*out, text[start:]]
+
+
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences(spark, sf_dir).where(f"length(text) > {LIMIT}").select("book_id", "position").distinct()
+
+
+def all_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def f(b: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [(x["book_id"], x["position"], k, p) for x in b.to_pylist() for k, p in enumerate(pieces(x["text"]))]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.int32(), pa.string()))], ["book_id", "position", "piece", "text"])
+
+    long = sentences(spark, sf_dir).where(f"length(text) > {LIMIT}").dropDuplicates(["book_id", "position"])
+    return map_arrow(long, f, "book_id string, position int, piece int, text string")

@@ -1,0 +1,107 @@
+"""Problem 6: figures of a text that tell lists, tables and junk from prose, and the kind of books and documents."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from problems.tables import map_arrow, read, sentences
+
+KINDS = ("list", "table", "junk")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}'’]*")
+TAGS = regex.compile(r"</?[\w:]+[^<>]*>|&[a-z]+;|&#\d+;|\{\\\w+|\[\[|\]\]|\{\{|\}\}|\w+=\"[^\"]*\"")
+BROKEN = regex.compile(r"[ÐÑÃÂ][\x80-\xbf]|[РС][Ѐ-Џѐ-џ -¿‐-›°±µ]|â€|�|[\x80-\x9f]")
+ODD = regex.compile(r"[^\p{L}\p{M}\p{N}\s.,;:!?…«»„“”\"'’‘()\[\]—–‐\-/№%§&*|│·•​-‏⁠﻿\xad¬]|[\p{Co}\p{Script=Gothic}]")
+BLOB = regex.compile(r"[A-Za-z0-9+/=_]{24,}")
+VOWEL = regex.compile(r"[aeiouyаеёиоуыэюяіїєäöüàâéèêëîïôùûœæ0-9]", regex.I)
+CELLS = regex.compile(r"\t+|[|│┃¦]|\s{2,}|;(?=\S)")
+FIGURE = regex.compile(r"[-+−]?[\d\s.,/:]*\d[\d.,/:]*\s*[%‰°]?|[—–\-]+|n/?a")
+MARK = regex.compile(r"(?:[-–—+*•·▪◦●○‣►]|\(?\d{1,4}(?:\.\d+)*[.)]|\(?\p{L}\))\s+")
+CONTENTS = regex.compile(r"(?:\.\s?){4,}\s*\d+\s*$|…{2,}\s*\d+\s*$")
+INDEX = regex.compile(r"^[^.!?]{2,80}?,\s*\d+(?:[–-]\d+)?(?:,\s*\d+(?:[–-]\d+)?)*\s*[,.;]?$")
+WORKS = regex.compile(r"[,:]\s*\d{4}\.\s*(?:[-—–]\s*)?\d+\s*(?:с|стор|p|pp|S|s)\b\.?|(?:^|\s)(?:ISBN|см\. также|see also)\b")
+GLOSS = regex.compile(r"^[^\s—–:.!?][^—–:.!?\n]{0,40}\s+[—–]\s+[^.!?\n]{2,80}[;,]?$")
+END = regex.compile(r"[.!?…][»”\"')\]]*$")
+#: A sentence in full, of letters and plain signs only, without figures in a row.
+PLAIN = re.compile(
+    r"(?!.*(?:,\s*\d|\d\s*[.,]\s*\d|  |\.\.\.\.))(?:— |[«\"„“])?[A-ZА-ЯЁІЇЄҐÄÖÜÀÂÇÉÈÊÎÔ][a-zа-яёіїєґäöüßàâçéèêëîïôùûœ]{0,22}"
+    r"(?:[ ,:;—–\-«»\"“”„'’?!.()\[\]]+(?:[A-ZА-ЯЁІЇЄҐÄÖÜÀÂÇÉÈÊÎÔ]?[a-zа-яёіїєґäöüßàâçéèêëîïôùûœ]{1,22}|\d{1,4}|[A-ZА-ЯІЄ]))*+[.!?…»”\"\]]+"
+)
+YEAR = regex.compile(r"(?:1[0-9]|20)\d\d[.)]\s")
+
+
+def figures(text: str) -> dict[str, float]:
+    solid = max(1, sum(not c.isspace() for c in text))
+    words = [w.lower() for w in WORD.findall(text)]
+    long = [w for w in words if len(w) >= 4]
+    return {
+        "tags": sum(map(len, TAGS.findall(text))) / solid,
+        "broken": 2 * len(BROKEN.findall(text)) / solid,
+        "odd": len(ODD.findall(text)) / solid,
+        "blobs": sum(map(len, BLOB.findall(text))) / solid,
+        "one_word": max(Counter(words).values()) / len(words) if len(words) >= 5 else 0.0,
+        "unreadable": sum(not VOWEL.search(w) for w in long) / len(long) if long else 0.0,
+        "letters": sum(map(len, words)) / solid,
+    }
+
+
+def kind_of_line(line: str) -> str:
+    cells = [c for c in (x.strip() for x in CELLS.split(line)) if c]
+    given = sum(bool(FIGURE.fullmatch(c)) for c in cells)
+    tokens = line.split()
+    numbers = sum(bool(FIGURE.fullmatch(x)) for x in tokens)
+    if len(cells) >= 3 and given >= len(cells) / 2 or len(cells) >= 3 and regex.search(r"[|│┃\t]", line) or len(tokens) >= 3 and numbers > 0.7 * len(tokens):
+        return "table"
+    if CONTENTS.search(line) or INDEX.match(line) or WORKS.search(line):
+        return "list"
+    if (m := MARK.match(line)) and not YEAR.match(line):
+        rest = line[m.end() :]
+        return "prose" if END.search(rest) and (len(rest.split()) > 5 or not line[0].isalnum()) else "list"
+    return "list" if GLOSS.match(line) else "prose"
+
+
+def kind(text: str | None) -> str | None:
+    """None for a text that says nothing: empty, or a number alone."""
+    text = (text or "").strip()
+    if len(text) < 2000 and PLAIN.fullmatch(text) and 2 * len(set(words := text.split())) > len(words) > 2:
+        return "prose"
+    if not regex.search(r"[^\s\d\p{P}]|\d\s+\d", text):
+        return "junk" if len(text) > 15 and not regex.search(r"\d", text) else None
+    if text.isalpha() and len(text) < 20:
+        return "prose"
+    f = figures(text)
+    if f["tags"] > 0.4 or f["broken"] > 0.25 or f["odd"] > 0.25 or f["blobs"] > 0.5 or f["one_word"] > 0.6 or f["unreadable"] > 0.4:
+        return "junk"
+    lines = [x for x in (y.strip() for y in text.split("\n")) if x]
+    kinds = [kind_of_line(x) for x in lines]
+    best = max(set(kinds), key=lambda k: (kinds.count(k), k != "prose"))
+    return best if best == "prose" or kinds.count(best) > len(kinds) / 2 else "prose"
+
+
+def _kinds(key: list[str]):
+    def f(b: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(b.column(k) for k in key), pa.array([kind(x) for x in b.column("text").to_pylist()], pa.string())], [*key, "kind"])
+
+    return f
+
+
+def books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of each book by kind, and the book's kind."""
+    rows = map_arrow(sentences(spark, sf_dir), _kinds(["book_id", "position"]), "book_id string, position int, kind string").where("kind is not null")
+    one = rows.groupBy("book_id", "position").agg(F.min("kind").alias("kind"))
+    per = one.groupBy("book_id").agg(F.count("*").alias("records"), *(F.count_if(F.col("kind") == k).alias(k) for k in KINDS))
+    most = F.greatest(*KINDS)
+    return per.withColumn("kind", F.when(F.expr("list + table + junk > records / 2"), F.when(F.col("list") == most, "list").when(F.col("table") == most, "table").otherwise("junk")).otherwise("prose"))
+
+
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return books(spark, sf_dir).where("kind <> 'prose'").select("book_id", "kind")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return map_arrow(read(spark, sf_dir, "documents").select("doc_id", "text"), _kinds(["doc_id"]), "doc_id bigint, kind string")

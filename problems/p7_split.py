@@ -1,0 +1,134 @@
+"""Problem 7: books that share an author, and a split that keeps them together."""
+
+from __future__ import annotations
+
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from problems.looks import INVISIBLE, skeleton
+from problems.tables import map_arrow, read
+
+BETWEEN = regex.compile(r"\s*(?:[;/&+|]|\s(?:и|и\s+др|та|й|and|und|et|with|mit|avec)\s)\s*", regex.I)
+NOBODY = regex.compile(
+    r"(?:unknown|anonymous|anon|n/?a|none|null|nil|без\s+автора?|неизвест\w*|невідом\w*|аноним\w*|анонім\w*|коллектив\s+авторов|автор\w*\s+не\w*|народн\w*"
+    r"|various(?:\s+authors)?|collective|unbekannt|anonyme?|inconnu|[\W\d_]*|(?:автор\s+)?неизвестен|и?\s*др|et\s+al)\.?",
+    regex.I,
+)
+
+
+def parts(person: str) -> tuple[list[str], list[str], bool] | None:
+    """Whole words, initials, and whether the first word is certainly the surname."""
+    comma = "," in person
+    words = regex.findall(r"\p{L}[\p{L}\p{M}'’\-]*", person)
+    if not words:
+        return None
+    first = [w for w in regex.findall(r"\p{L}[\p{L}\p{M}'’\-]*", person.split(",")[0])] if comma else []
+    if comma and first:
+        rest = words[len(first) :]
+        return first[-1:], [w[0] for w in rest], True
+    long = [w for w in words if len(w) > 1]
+    if len(long) == 1:
+        return long, [w for w in words if len(w) == 1], True
+    return words, [], False
+
+
+def people(author: str | None) -> list[str]:
+    """Keys of the persons named: a surname and initials if that is certain, else the words with a mark."""
+    out = []
+    text = regex.sub(rf"[{INVISIBLE}]", "", author or "").casefold().replace("ё", "е")
+    text = regex.sub(r"\s+", " ", text.replace(" ", " ")).strip()
+    if NOBODY.fullmatch(text):
+        return []
+    for one in BETWEEN.split(f" {text} "):
+        one = (one or "").strip()
+        # Several people in a list with commas: each part then has a surname and initials of its own.
+        each = one.split(",")
+        if all(len(regex.findall(r"\p{L}+", x)) > 1 for x in each):
+            many = each
+        elif len(each) % 2 == 0:  # surname, names, surname, names
+            many = [",".join(each[k : k + 2]) for k in range(0, len(each), 2)]
+        else:
+            many = [one]
+        for person in many:
+            person = person.strip()
+            if NOBODY.fullmatch(person) or not (p := parts(person)):
+                continue
+            words, initials, certain = p
+            if certain:
+                out.append(f"{words[0]}|{''.join(initials)}")
+            else:
+                out.append("?" + " ".join(words))
+    return [skeleton(x) for x in out]
+
+
+def whose(words: list[str], surnames: set[str]) -> str:
+    """The key of a name written in full."""
+    if len(words) > 1 and len(words[-1]) == 1:
+        words = [w for w in words if len(w) > 1] + [w for w in words if len(w) == 1]
+    known = [k for k in (0, len(words) - 1) if words[k] in surnames]
+    if len(known) == 1:
+        k = known[0]
+    elif len(words) >= 3 and FATHERS_SHAPE.search(words[-1]) and not FATHERS_SHAPE.search(words[-2]):
+        k = 0
+    else:
+        k = len(words) - 1
+    return f"{words[k]}|{''.join(w[0] for i, w in enumerate(words) if i != k)}"
+
+
+FATHERS_SHAPE = regex.compile("(?:" + "|".join(skeleton(x) for x in ("ович", "евич", "ич", "овна", "евна", "ична", "івна", "ївна")) + ")$")
+
+
+def groups(edges: list[tuple[str, str]]) -> dict[str, str]:
+    """Smallest book of each book's group."""
+    up: dict[str, str] = {}
+
+    def top(x: str) -> str:
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = top(a), top(b)
+        if a != b:
+            up[max(a, b)] = min(a, b)
+    return {x: top(x) for x in up}
+
+
+def grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every book with the smallest book of its group."""
+
+    def named(b: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [(k, p) for k, a in zip(b.column("book_id").to_pylist(), b.column("author").to_pylist()) for p in people(a) or [""]]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], pa.string()) for i in (0, 1)], ["book_id", "person"])
+
+    def join(batches):
+        import pandas as pd
+
+        rows = [r for b in batches for r in zip(b.column("book_id").to_pylist(), b.column("person").to_pylist())]
+        surnames = {p.split("|")[0] for _, p in rows if p and p[0] != "?"}
+        edges: list[tuple[str, str]] = []
+        first: dict[str, str] = {}
+        for book, p in rows:
+            edges.append((book, book))
+            if p:
+                key = whose(p[1:].split(), surnames) if p[0] == "?" else p
+                edges.append((first.setdefault(key, book), book))
+        out = groups(edges)
+        yield pa.RecordBatch.from_pandas(pd.DataFrame({"book_id": list(out), "first": list(out.values())}, dtype="object"), schema=pa.schema([("book_id", pa.string()), ("first", pa.string())]), preserve_index=False)
+
+    meta = read(spark, sf_dir, "books_meta").where("book_id is not null").select("book_id", "author")
+    named_rows = map_arrow(meta, named, "book_id string, person string").distinct()
+    return named_rows.repartition(1).mapInArrow(join, "book_id string, first string")
+
+
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouped(spark, sf_dir).where("first <> book_id").select(F.col("first").alias("book_id_a"), F.col("book_id").alias("book_id_b"))
+
+
+def split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups go to train, validation or test by a hash of their smallest book, in proportions 80/10/10."""
+    at = F.pmod(F.xxhash64("first"), F.lit(100))
+    return grouped(spark, sf_dir).select("book_id", F.when(at < 80, "train").when(at < 90, "validation").otherwise("test").alias("split"))

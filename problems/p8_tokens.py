@@ -1,0 +1,87 @@
+"""Problems 4 and 8: token ids and counts under the public tokenizer byte_bpe_50k."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from problems.tables import language, map_arrow, read, sentences
+
+NAME, KEPT = "byte_bpe_50k", 300_000
+
+
+class Tokenizer:
+    """Ids of each piece are kept; texts repeat their words."""
+
+    _one: Tokenizer | None = None
+
+    def __init__(self) -> None:
+        import public_tokenizers
+        from tiktoken.load import load_tiktoken_bpe
+        import tiktoken
+
+        ranks = load_tiktoken_bpe(public_tokenizers.path(f"{NAME}.tiktoken"))
+        self.core = tiktoken.Encoding(NAME, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe
+        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
+        self.kept: dict[str, bytes] = {}
+
+    @classmethod
+    def one(cls) -> Tokenizer:
+        import sys
+
+        if (t := getattr(sys, "_byte_bpe_50k", None)) is None:
+            t = sys._byte_bpe_50k = cls()
+        return t
+
+    def ids(self, text: str) -> bytes:
+        """As int32, one after the other."""
+        kept, out = self.kept, []
+        if len(kept) > KEPT:
+            kept.clear()
+        for p in self.pieces(text):
+            if (x := kept.get(p)) is None:
+                x = np.array(self.core.encode_single_piece(p.encode()), np.int32).tobytes()
+                if len(p) < 50:
+                    kept[p] = x
+            out.append(x)
+        return b"".join(out)
+
+
+def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def f(b: pa.RecordBatch) -> pa.RecordBatch:
+        t = Tokenizer.one()
+        each = [t.ids(x) if x else b"" for x in b.column("text").to_pylist()]
+        offsets = np.cumsum([0, *(len(x) // 4 for x in each)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(each), np.int32)))
+        return pa.RecordBatch.from_arrays([b.column("doc_id"), lists], ["doc_id", "ids"])
+
+    return map_arrow(read(spark, sf_dir, "documents").select("doc_id", "text"), f, "doc_id bigint, ids array<int>")
+
+
+def _counted(df: DataFrame, keys: list[str], schema: str) -> DataFrame:
+    def f(b: pa.RecordBatch) -> pa.RecordBatch:
+        t = Tokenizer.one()
+        return pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array([len(t.ids(x)) // 4 if x else 0 for x in b.column("text").to_pylist()], pa.int64())], [*keys, "tokens"])
+
+    return map_arrow(df.select(*keys, "text"), f, f"{schema}, tokens bigint")
+
+
+def _genre(col: str):
+    return F.nullif(F.lower(F.trim(F.col(col))), F.lit(""))
+
+
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and tokens per slice of both tables; a missing source, language or genre is null."""
+    one = _counted(sentences(spark, sf_dir), ["book_id", "position"], "book_id string, position int").groupBy("book_id", "position").agg(F.max("tokens").alias("tokens"))
+    books = one.groupBy("book_id").agg(F.count("*").alias("records"), F.sum("tokens").alias("tokens"))
+    meta = read(spark, sf_dir, "books_meta").groupBy("book_id").agg(
+        F.min(F.regexp_extract("source_file", r"data/raw/([^/]+)/", 1)).alias("source"), F.min(_genre("genre")).alias("genre")
+    )
+    index = read(spark, sf_dir, "book_index").groupBy("book_id").agg(F.min(language("language")).alias("language"))
+    slices = books.join(meta, "book_id", "left").join(index, "book_id", "left").select(F.lit("sentences").alias("of"), F.nullif("source", F.lit("")).alias("source"), "language", "genre", "records", "tokens")
+    docs = _counted(read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "genre", "text"), ["source", "lang", "genre"], "source string, lang string, genre string")
+    per = docs.groupBy(F.lit("documents").alias("of"), "source", language("lang").alias("language"), _genre("genre").alias("genre")).agg(F.count("*").alias("records"), F.sum("tokens").alias("tokens"))
+    return slices.groupBy("of", "source", "language", "genre").agg(F.sum("records").alias("records"), F.sum("tokens").alias("tokens")).unionByName(per)

@@ -1,0 +1,93 @@
+"""Problem 9: documents that hold a passage of an evaluation item."""
+
+from __future__ import annotations
+
+import unicodedata
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, SparkSession
+
+from problems.looks import INVISIBLE, skeleton
+from problems.tables import map_arrow, read
+
+RUN = 12
+WORDS = regex.compile(r"[^\W_]+").findall
+MARKS = regex.compile(r"\p{M}+")
+HIDDEN = regex.compile(f"[{INVISIBLE}]+")
+CUT = regex.compile(r"(?<=\p{L})[-‐‑¬\xad][^\S\n]*\r?\n\s*(?=\p{Ll})")
+CUT_BLANK = regex.compile(r"(?<=\p{L})[-‐‑¬\xad]\s+(?=\p{Ll})(?!(?:и|или|та|і|й|або|чи|and|or|to|und|oder|bis|et|ou)\b)")
+
+
+_kept: dict[str, str] = {}
+
+
+def _one(w: str) -> str:
+    out = skeleton(w.lower().replace("ё", "е").replace("ë", "e")).lower().replace("ё", "e")
+    if len(_kept) > 300_000:
+        _kept.clear()
+    _kept[w] = out
+    return out
+
+
+def words(text: str, cut: regex.Pattern | None = None) -> list[str]:
+    if cut is not None:
+        text = cut.sub("", text)
+    if not text.isascii():
+        text = MARKS.sub("", HIDDEN.sub("", unicodedata.normalize("NFC", text)))
+    get = _kept.get
+    return [get(w) or _one(w) for w in WORDS(text)]
+
+
+def readings(text: str) -> list[list[str]]:
+    """The words, and once more with the words that a line end cuts put together."""
+    out = [words(text)]
+    for cut in (CUT, CUT_BLANK):
+        if cut.search(text):
+            out.append(words(text, cut))
+    return out
+
+
+class Items:
+    def __init__(self, rows: list[tuple[int, str | None]]) -> None:
+        self.code: dict[str, int] = {}
+        self.runs: dict[bytes, set[int]] = defaultdict(set)
+        coded = [(i, np.array([self.code.setdefault(w, len(self.code) + 1) for w in r], np.int64)) for i, t in rows if t for r in readings(t)]
+        n = len(self.code) + 1
+        self.n, self.pairs = n, np.zeros(n * n if n <= 20_000 else 1, bool)
+        for i, c in coded:
+            if n <= 20_000 and len(c) > 1:
+                self.pairs[c[:-1] * n + c[1:]] = True
+            for k in range(len(c) - RUN + 1):
+                self.runs[c[k : k + RUN].tobytes()].add(i)
+
+    def within(self, text: str) -> set[int]:
+        out: set[int] = set()
+        for r in readings(text):
+            if len(r) < RUN:
+                continue
+            get = self.code.get
+            c = np.array([get(w, 0) for w in r], np.int64)
+            follows = self.pairs[c[:-1] * self.n + c[1:]] if self.n <= 20_000 else (c[:-1] > 0) & (c[1:] > 0)
+            breaks = np.flatnonzero(~np.r_[False, follows, False])
+            for a, b in zip(breaks[:-1], breaks[1:]):
+                if b - a >= RUN:  # words a..b-1
+                    for k in range(a, b - RUN + 1):
+                        out |= self.runs.get(c[k : k + RUN].tobytes(), set())
+        return out
+
+
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = [(r.item_id, r.text) for r in read(spark, sf_dir, "eval_items").select("item_id", "text").collect()]
+    held: list[Items] = []
+
+    def f(b: pa.RecordBatch) -> pa.RecordBatch:
+        if not held:
+            held.append(Items(items))
+        rows = [(d, i) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()) if t for i in sorted(held[0].within(t))]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], ["doc_id", "item_id"])
+
+    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text")
+    return map_arrow(docs, f, "doc_id bigint, item_id bigint").distinct()

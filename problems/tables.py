@@ -1,0 +1,45 @@
+"""Reading and columns that several problems share."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+LANGUAGES = {
+    "ru": ("ru", "rus", "russian", "русский"),
+    "en": ("en", "eng", "english"),
+    "uk": ("uk", "ukr", "ukrainian", "ua"),
+    "de": ("de", "deu", "ger", "german", "deutsch"),
+    "fr": ("fr", "fra", "fre", "french", "français"),
+    "mixed": ("mixed", "multi", "mul"),
+}
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries with a book and a text, not yet one per (book_id, position)."""
+    return read(spark, sf_dir, "sentences").select("book_id", "position", "text").where("book_id is not null and text is not null")
+
+
+def language(col: str):
+    """The code of a language however it is spelled; null if missing or unknown."""
+    base = F.regexp_extract(F.lower(F.trim(F.col(col))), r"^(\p{L}+)", 1)
+    out = F.lit(None).cast("string")
+    for code, names in LANGUAGES.items():
+        out = F.when(base.isin(*names), F.lit(code)).otherwise(out)
+    return out
+
+
+def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield f(b)
+
+    return df.mapInArrow(run, schema)

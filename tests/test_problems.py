@@ -1,0 +1,105 @@
+"""Each test fails on a repository without the operator it names."""
+
+import sys
+from pathlib import Path
+
+import numpy as np
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+import __spark_entry__ as e  # noqa: E402
+from problems import p1_scan, p2_languages, p5_pieces, p6_kinds, p7_split, p9_leaks, p10_content  # noqa: E402
+from problems.looks import skeleton, skeleton_bytes  # noqa: E402
+from problems.p8_tokens import Tokenizer  # noqa: E402
+
+FOUND = ["p1_found", "p2_found", "p3_found", "p4_tokens", "p5_found", "p6_found", "p7_found", "p8_ids", "p9_found", "p10_found"]
+
+
+def test_registered():
+    assert set(FOUND) <= set(e.queries())
+
+
+@pytest.mark.parametrize(
+    "text, kinds",
+    [("Старик увидел ме-\nшок зерна.", {"hyphen"}), ("Двух- и трёхэтажные дома.", set()), ("Двух-\nи трёхэтажные дома.", set()), ("the com- mandant left.", {"hyphen"}), ("a bask\xad\net of apples", {"hyphen"}), ("— 55 —", {"pageno"}), ("У старой\n560\nпристани.", {"pageno"})],
+)
+def test_scan(text, kinds):
+    assert p1_scan.traces(text)[0] == kinds
+
+
+def test_misread():
+    assert p1_scan.corrections("палу6е", {"палубе": 9}) == "палубе"
+    assert p1_scan.corrections("fcrryman", {"ferryman": 9}) == "ferryman"
+
+
+def test_header_line():
+    assert ("горький рубеж", True) in p1_scan.traces("Старик\n159 ГОРЬКИЙ РУБЕЖ\nушёл домой.")[1]
+
+
+def test_languages():
+    assert p2_languages.languages("The abbot bought the old map, and the widow was in the garden.")[0] == "en"
+    both = p2_languages.languages("Старик всё-таки принёс старую карту, in derselben Nacht prüfte die Witwe einen silbernen Löffel.")[2]
+    assert {x[0] for x in both} == {"ru", "de"}
+    assert not p2_languages.languages("Старик всё-таки принёс ad hoc старую карту в «Harrow Review».")[2]
+
+
+def test_looks():
+    assert skeleton("Oднажды\xa0осeнью") == skeleton("Однажды осенью")
+    assert skeleton("１８７４") == "1874" and skeleton("ﬁsh") == "fish"
+    assert skeleton("её") != skeleton("ее") and skeleton("x²") != skeleton("x2") and skeleton("Он") != skeleton("он")
+    assert skeleton_bytes("Oднажды") == skeleton_bytes("Однажды") != skeleton_bytes("однажды")
+
+
+def test_pieces():
+    text = "Старик ушёл домой. " * 400
+    parts = p5_pieces.pieces(text)
+    assert max(map(len, parts)) <= 2000
+    whole = parts[0]
+    for p in parts[1:]:
+        k = next(n for n in range(200, 0, -1) if whole.endswith(p[:n]))
+        assert k > 100
+        whole += p[k:]
+    assert whole == text
+
+
+def test_kinds():
+    assert p6_kinds.kind("13. Зимнюю шапку") == "list"
+    assert p6_kinds.kind("│ 1932 │ 484.09 │ — │ 89,79 │") == "table"
+    assert p6_kinds.kind("мост мост мост мост мост мост") == "junk"
+    assert p6_kinds.kind("на чердаке,\nв соседней деревне,\nтем временем") == "prose"
+    assert p6_kinds.kind("1735. Старик построил у реки новую мельницу.") == "prose"
+
+
+def test_authors():
+    same = ["И. Ф. Заозетуренко", "Заозетуренко, И. Ф.", "ЗАОЗЕТУРЕНКО И.Ф."]
+    keys = {p for a in same for p in p7_split.people(a)}
+    assert len(keys) == 1
+    full = p7_split.people("Заозетуренко Игнат Филиппович")[0]
+    assert p7_split.whose(full[1:].split(), {k.split("|")[0] for k in keys}) in keys
+    assert p7_split.people("n/a") == p7_split.people("Коллектив авторов") == p7_split.people(None) == []
+    assert len(p7_split.people("Олег Степанович Тихошипин, Савва Климович Вельмрогин")) == 2
+
+
+def test_ids():
+    import public_tokenizers
+    from tokenizers import Tokenizer as Whole
+
+    whole = Whole.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("", "Hello  world\n\n", "Старик ушёл — 1874!", "<|endoftext|x> 😀"):
+        assert np.frombuffer(Tokenizer.one().ids(text), np.int32).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_leaks():
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda omicron sigma"
+    items = p9_leaks.Items([(1, words), (2, words), (3, None)])
+    assert items.within("So: " + words.upper().replace("DELTA", "DEL-\nta").replace(" ", ",\xa0")) == {1, 2}
+    assert items.within(" ".join(words.split()[:11])) == set()
+
+
+def test_content():
+    found = lambda t: {c for c, n in p10_content.score(t).items() if n}
+    assert found("Слушай сюда, г.н.и.д.а: молчи.") == {"abuse"}
+    assert found("Какой же ты св​олочь.") == {"abuse"}
+    assert found("Outlanders are not human, do not waste your pity on them.") == {"hate"}
+    assert found("Слово «идиот» в старой медицине было термином, а не бранью.") == set()
