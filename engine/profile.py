@@ -1,0 +1,28 @@
+"""Profile of the whole sentences table: A1–A3, G1 and G2. Each delivered row with a text counts, as in the reference."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/sentences.parquet").where("text is not null and text <> ''").select("text")
+
+
+def script_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ru, en = F.col("text").rlike("[\\x{400}-\\x{4FF}]"), F.col("text").rlike("[A-Za-z]")
+    kind = F.when(ru & en, "mixed").when(ru, "russian").when(en, "english").otherwise("other")
+    return _texts(spark, sf_dir).groupBy(kind.alias("script_class")).agg(F.count("*").alias("n"))
+
+
+def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bucket = F.least(F.floor(F.length("text") / 10), F.lit(1000)).cast("bigint")
+    return _texts(spark, sf_dir).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+
+
+SQL = {
+    "script_class_counts": r"""select case when ru and en then 'mixed' when ru then 'russian' when en then 'english' else 'other' end as script_class, count(*) as n
+        from (select regexp_matches(text, '[\x{400}-\x{4FF}]') as ru, regexp_matches(text, '[A-Za-z]') as en from sentences where text <> '') group by 1""",
+    "length_histogram": "select least(length(text) // 10, 1000)::bigint as bucket, count(*) as n from sentences where text <> '' group by 1",
+}

@@ -1,0 +1,28 @@
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+import __spark_entry__ as e  # noqa: E402
+
+DATA = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def spark():
+    return SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate()
+
+
+@pytest.mark.parametrize("name", ["script_class_counts", "length_histogram", "p5_found"])
+def test_as_sql(spark, name):
+    db = duckdb.connect()
+    db.execute(f"create view sentences as select * from '{DATA}/sentences.parquet'")
+    assert sorted(map(tuple, e.queries()[name](spark, DATA).collect())) == sorted(db.execute(e.oracle_sql()[name]).fetchall())
+
+
+def test_entry(spark):
+    assert e.entry(spark).count() > 0
