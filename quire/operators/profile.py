@@ -1,13 +1,15 @@
-"""Profile of the whole sentences table: A1–A3, G1 and G2. Each delivered row with a text counts, as in the reference."""
+"""Profile of the whole sentences table. Each delivered row with a text counts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.sources.tables import read
+
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/sentences.parquet").where("text is not null and text <> ''").select("text")
+    return read(spark, sf_dir, "sentences").where("text is not null and text <> ''").select("text")
 
 
 def script_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +23,7 @@ def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _texts(spark, sf_dir).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
+QUERIES = {"script_class_counts": script_class_counts, "length_histogram": length_histogram}
 SQL = {
     "script_class_counts": r"""select case when ru and en then 'mixed' when ru then 'russian' when en then 'english' else 'other' end as script_class, count(*) as n
         from (select regexp_matches(text, '[\x{400}-\x{4FF}]') as ru, regexp_matches(text, '[A-Za-z]') as en from sentences where text <> '') group by 1""",
