@@ -16,12 +16,11 @@ def ship(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_quire_shipped", False):
         return
-    with tempfile.TemporaryDirectory() as d:  # of the driver alone: addPyFile copies it and serves the copy
-        path = f"{d}/quire_package.zip"
-        with zipfile.ZipFile(path, "w") as z:
-            for p in sorted(_ROOT.rglob("*.py")):
-                z.write(p, p.relative_to(_ROOT.parent))
-        sc.addPyFile(path)
+    path = tempfile.mkdtemp(prefix="quire-package-") + "/quire_package.zip"  # the driver's own, which it serves to the executors
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted(_ROOT.rglob("*.py")):
+            z.write(p, p.relative_to(_ROOT.parent))
+    sc.addPyFile(path)
     sc._quire_shipped = True
 
 
