@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import xxhash
 
-from quire.llm.looks import CYRILLIC, LATIN, ODD, one_form, settled
+from quire.llm.looks import CYRILLIC, LATIN, odd, one_form, settled
 
-#: A word, or a mark that may end a clause.
-TOKENS = re.compile(r"[^\W\d_]+|[,;:.!?…()«»„“”\"\n—–]").findall
+#: A word, which a scanner may have put a figure into, a number, or a mark that may end a clause.
+TOKENS = re.compile(r"[^\W_]+|[,;:.!?…()«»„“”\"\n—–]").findall
+SIGN = re.compile(r"[\W\d_]+")
+MARKS = ",;:.!?…()«»„“”\"\n—–"
 CUT = re.compile(r"(?<=[^\W\d_])[-‐¬]\s*\n\s*(?=[^\W\d_])")
 #: Words whose scores a worker keeps; beyond it starts afresh, with the same results.
 KEPT = 300_000
 
 
-#: A sign that a scanner put for a letter or after one.
-SIGN = re.compile(r"(?<=[^\W\d_])[@$|\d]+(?=[^\W_])|(?<![^\W_])[@$|\d](?=[^\W\d_])|(?<=[^\W\d_])[@$|](?![^\W_])")
-SIGNED = re.compile(r"[@$|]|[^\W\d_]\d|\d[^\W\d_]")
+def spoken(token: str) -> bool:
+    """Whether a token is a word; a number separates words as a mark does."""
+    return token[0].isalpha() or token[-1].isalpha()
 
 
 def heading(line: str) -> bool:
@@ -30,17 +33,17 @@ def heading(line: str) -> bool:
 
 def tokens(text: str) -> list[str]:
     """Words and marks; words that a line end cuts are put together, headings and page numbers on lines of their own left out."""
-    if ODD.search(text):
+    if odd(text):
         text = one_form(text)
     if "\n" in text:
         lines = [x for x in map(str.strip, text.split("\n")) if x]
         text = CUT.sub("", "\n".join(x for x in lines if not heading(x)) if len(lines) > 1 else text)
-    return TOKENS(SIGN.sub("", text) if SIGNED.search(text) else text)
+    return TOKENS(text)
 
 
 def features(word: str, lexicon: dict[str, frozenset[str]], buckets: int) -> np.ndarray:
     """Hashed: the word, its affixes, letter pairs and triples, the lexicons it is in, its script and whether it has a capital."""
-    w = settled(word).lower()
+    w = settled(SIGN.sub("", word)).lower()
     t = f"<{w}>"
     # A name says little of the language, so a capital gives the word's own features another place.
     case = "A" if word[0].isupper() else "a"
@@ -70,21 +73,26 @@ class Chain:
     def forward_backward(self, scores: np.ndarray, after: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Marginals of each word's label, and the expected number of each transition; scores is (texts, words, labels), after says which table leads to a word."""
         b, t, k = scores.shape
-        e = np.exp(scores - scores.max(axis=2, keepdims=True))
-        tables = np.exp(self.move)
-        a, z = np.empty((b, t, k)), np.ones((b, t, k))
-        a[:, 0] = e[:, 0] / e[:, 0].sum(axis=1, keepdims=True)
-        inside = np.arange(t)[None, :] < length[:, None]
+        e = np.ascontiguousarray(scores.transpose(1, 0, 2))  # a word of all texts after the other
+        e = np.exp(e - e.max(axis=2, keepdims=True))
+        tables = np.exp(self.move).astype(e.dtype)
+        fore, back = np.concatenate([*tables], axis=1), np.concatenate([x.T for x in tables], axis=1)
+        after_t = np.ascontiguousarray(after.T)[:, :, None]
+        inside = np.arange(t)[:, None] < length[None, :]
+        a, z = np.empty_like(e), np.ones_like(e)
+        a[0] = e[0] / e[0].sum(axis=1, keepdims=True)
         for i in range(1, t):
-            p = np.where(after[:, i, None], a[:, i - 1] @ tables[1], a[:, i - 1] @ tables[0]) * e[:, i]
-            a[:, i] = p / p.sum(axis=1, keepdims=True)
+            p = a[i - 1] @ fore
+            p = np.where(after_t[i], p[:, k:], p[:, :k]) * e[i]
+            a[i] = p / p.sum(axis=1, keepdims=True)
         for i in range(t - 2, -1, -1):
-            n = e[:, i + 1] * z[:, i + 1]
-            p = np.where(after[:, i + 1, None], n @ tables[1].T, n @ tables[0].T)
-            z[:, i] = np.where(inside[:, i + 1, None], p / p.sum(axis=1, keepdims=True), 1.0)
+            p = (e[i + 1] * z[i + 1]) @ back
+            p = np.where(after_t[i + 1], p[:, k:], p[:, :k])
+            z[i] = np.where(inside[i + 1, :, None], p / p.sum(axis=1, keepdims=True), e.dtype.type(1))
         m = a * z
         m /= m.sum(axis=2, keepdims=True)
-        return m, (a, z, e, tables, inside)
+        back_to = lambda x: x.transpose(1, 0, *range(2, x.ndim))
+        return back_to(m), (back_to(a), back_to(z), back_to(e), tables, inside.T)
 
     def expected_moves(self, parts: tuple, after: np.ndarray) -> np.ndarray:
         a, z, e, tables, inside = parts
@@ -131,64 +139,71 @@ class Chain:
 class Tagger:
     """Marginals of texts by a trained chain; scores of words are kept, as texts repeat them."""
 
-    def __init__(self, chain: Chain, lexicon: dict[str, frozenset[str]]) -> None:
-        self.chain, self.lexicon = chain, lexicon
+    def __init__(self, trained: Chain, lexicon: dict[str, frozenset[str]]) -> None:
+        self.chain, self.lexicon = trained, lexicon
         self._reset()
 
     def _reset(self) -> None:
-        self.number: dict[str, int] = dict.fromkeys(",;:.!?…()«»„“”\"\n—–", 0)
-        self.scores = np.zeros((1, self.chain.labels))
+        self.number: dict[str, int] = dict.fromkeys(MARKS, 0)
+        self.scores = np.zeros((1, self.chain.labels), np.float32)
 
     def learn(self, new: set[str]) -> None:
+        self.number.update((w, 0) for w in new if not spoken(w))
+        new = [w for w in new if spoken(w)]
         first = len(self.scores)
+        if not new:
+            return
         add = np.array([self.chain.emit[features(w, self.lexicon, self.chain.buckets)].sum(axis=0) for w in new])
         self.number.update((w, first + k) for k, w in enumerate(new))
-        self.scores = np.concatenate([self.scores, add])
+        self.scores = np.concatenate([self.scores, add.astype(np.float32)])
 
-    def marginals(self, each: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each list of tokens: (words x labels) marginals, and whether a mark stands before each word."""
+    def marginals(self, each: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(words x labels) marginals of all lists of tokens one after the other, and where each list's words begin, with the end."""
         if len(self.scores) > KEPT:
             self._reset()
         if new := set().union(*each).difference(self.number):
             self.learn(new)
-        get = self.number.__getitem__
-        rows, flags = [], []
-        for toks in each:
-            ids = np.fromiter(map(get, toks), np.int64, len(toks))
-            word = ids > 0
-            rows.append(ids[word])
-            flags.append(np.append(True, ~word[:-1])[word] if len(ids) else np.zeros(0, bool))
-        out: list = [(np.zeros((0, self.chain.labels)), np.zeros(0, bool))] * len(rows)
-        order = np.argsort([len(r) for r in rows], kind="stable")
-        at = int(np.searchsorted([len(rows[k]) for k in order], 1))
+        size = np.fromiter(map(len, each), np.int64, len(each))
+        ids = np.fromiter(map(self.number.__getitem__, chain.from_iterable(each)), np.int64, int(size.sum()))
+        word = ids > 0
+        begins = np.append(0, np.cumsum(size))
+        counted = np.append(0, np.cumsum(word))
+        bounds = counted[begins]
+        after = np.append(True, ~word[:-1])
+        after[begins[:-1][begins[:-1] < len(after)]] = True
+        ids, after = ids[word], after[word]
+        length = np.diff(bounds)
+        out = np.zeros((len(ids), self.chain.labels), np.float32)
+        order = np.argsort(length, kind="stable")
+        sorted_ = length[order]
+        at = int(np.searchsorted(sorted_, 1))
         while at < len(order):
-            n = len(rows[order[at]])
             # Texts of about one length go together, as many as keep the padded block small.
-            end = at
-            while end < len(order) and len(rows[order[end]]) <= n * 1.15 + 2 and (end - at) * len(rows[order[end]]) < 60_000:
-                end += 1
-            own = order[at:end]
-            numbers, length = pad([rows[k] for k in own])
-            after = pad([flags[k] for k in own])[0].astype(bool)
-            m, _ = self.chain.forward_backward(self.scores[numbers], after, length)
-            for j, k in enumerate(own):
-                out[k] = (m[j, : length[j]], flags[k])
+            n = int(sorted_[at])
+            end = min(int(np.searchsorted(sorted_, n * 1.15 + 1, "right")), at + max(1, 60_000 // int(n * 1.15 + 1)))
+            own, width = order[at:end], int(sorted_[end - 1])
+            inside = np.arange(width)[None, :] < length[own][:, None]
+            where = (bounds[own][:, None] + np.arange(width)[None, :])[inside]
+            numbers, flags = np.zeros(inside.shape, np.int64), np.zeros(inside.shape, bool)
+            numbers[inside], flags[inside] = ids[where], after[where]
+            m, _ = self.chain.forward_backward(self.scores[numbers], flags, length[own])
+            out[where] = m[inside]
             at = end
-        return out
+        return out, bounds
 
 
 def train(texts: list[tuple[list[str], np.ndarray]], labels: int, lexicon: dict[str, frozenset[str]], rounds: int = 40, **given) -> Chain:
     """A chain from tokens with a label for each word."""
-    chain = Chain(labels)
+    out = Chain(labels)
     number: dict[str, int] = {}
     words, rows, flags, gold = [], [], [], []
     for toks, wanted in texts:
         row, flag, mark = [], [], True
         for t in toks:
-            if t[0].isalpha():
+            if spoken(t):
                 if t not in number:
                     number[t] = len(number) + 1
-                    words.append(features(t, lexicon, chain.buckets))
+                    words.append(features(t, lexicon, out.buckets))
                 row.append(number[t])
                 flag.append(mark)
                 mark = False
@@ -199,5 +214,5 @@ def train(texts: list[tuple[list[str], np.ndarray]], labels: int, lexicon: dict[
             flags.append(np.array(flag, np.int64))
             gold.append(np.asarray(wanted))
     if rows:
-        chain.fit(words, rows, flags, gold, rounds, **given)
-    return chain
+        out.fit(words, rows, flags, gold, rounds, **given)
+    return out

@@ -15,11 +15,22 @@ ODD = re.compile("[^ -~\nЀ-џ–—«»„“”’äöüßÄÖÜàâçéèêë
 CYRILLIC, LATIN = re.compile("[Ѐ-ԯ]"), re.compile("[A-Za-zÀ-ɏ]")
 TO_CYRILLIC = {ord(v): k for k, v in zip(ALIKE_FROM, ALIKE_TO) if "Ѐ" <= k <= "ӿ" and k not in "ЅЈѕјԁԛԝӏһ"}
 TO_LATIN = {ord(k): v for k, v in zip(ALIKE_FROM, ALIKE_TO)}
+_ONE_BYTE = [(c, bytes(b for b in range(256) if not ODD.search(bytes([b]).decode(c, "ignore") or "\t"))) for c in ("cp1251", "cp1252")]
+
+
+def odd(text: str) -> bool:
+    """Whether ODD is in a text; quick for texts of one alphabet, which most are."""
+    for code, usual in _ONE_BYTE:
+        try:
+            return bool(text.encode(code).translate(None, usual))
+        except UnicodeEncodeError:
+            pass
+    return ODD.search(text) is not None
 
 
 def one_form(text: str) -> str:
     """Forms, widths, compositions, blanks and invisible marks in one way; letters stay in their script."""
-    return unicodedata.normalize("NFC", text.translate(FORM)).replace("\r\n", "\n") if ODD.search(text) else text
+    return unicodedata.normalize("NFC", text.translate(FORM)).replace("\r\n", "\n") if odd(text) else text
 
 
 def skeleton(text: str) -> str:

@@ -81,7 +81,7 @@ def train(labelled: list[tuple[str, str, str]], seed: int = 5) -> crf.Chain:
     clean: dict[str, list[list[str]]] = {c: [] for c in LANGUAGES}
     for code, _, text in labelled:
         toks = crf.tokens(text)
-        words = [t for t in toks if t[0].isalpha()]
+        words = [t for t in toks if crf.spoken(t)]
         h = hint(words)
         if len(words) >= 3 and quality.votes(text) in (1, 2, 4, 6, 3, 5, 7) and h[_ALPHA[code]] > 0.75 * h.sum() and h[_ALPHA[code]] >= 0.1 * len(words):
             clean[code].append(toks)
@@ -89,12 +89,12 @@ def train(labelled: list[tuple[str, str, str]], seed: int = 5) -> crf.Chain:
         words = sorted(WORDS[code])
         clean[code] += [rng.sample(words, 6) for _ in range(30)]
     data = [(toks, code) for code, texts in clean.items() for toks in texts]
-    out = [(t, np.full(sum(x[0].isalpha() for x in t), _ALPHA[c])) for t, c in data]
+    out = [(t, np.full(sum(crf.spoken(x) for x in t), _ALPHA[c])) for t, c in data]
     for _ in range(len(data) // 3):
         (a, c), (b, d) = rng.choice(data), rng.choice(data)
         k, mark = rng.randint(1, len(a)), rng.choice([".", ",", "—", ""])
         joined = a[:k] + [mark] * bool(mark) + b
-        out.append((joined, np.array([_ALPHA[c]] * sum(x[0].isalpha() for x in a[:k]) + [_ALPHA[d]] * sum(x[0].isalpha() for x in b))))
+        out.append((joined, np.array([_ALPHA[c]] * sum(crf.spoken(x) for x in a[:k]) + [_ALPHA[d]] * sum(crf.spoken(x) for x in b))))
     return crf.train(out, len(LANGUAGES), WORDS)
 
 
@@ -103,13 +103,13 @@ def segments(toks: list[str], marginals: np.ndarray) -> list[tuple[int, int, int
 
     A run shorter than SEGMENT_WORDS joins the run before it; so does one of words with capitals, as names and titles have.
     """
-    words = [t for t in toks if t[0].isalpha()]
+    words = [t for t in toks if crf.spoken(t)]
     best = marginals.argmax(axis=1)
     edges = np.flatnonzero(np.append(True, best[1:] != best[:-1]))
     out: list[list] = []
     for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(best)]):
         code = int(best[a])
-        low = sum(words[k][0].islower() for k in range(a, b))
+        low = sum(words[k].islower() for k in range(a, b))
         sure = float(marginals[a:b, code].mean())
         if low >= SEGMENT_WORDS - 1 and b - a >= SEGMENT_WORDS and sure >= SEGMENT_SURE:
             if out and out[-1][0] == code:
@@ -144,17 +144,20 @@ def tagged(texts: DataFrame, chain: crf.Chain) -> DataFrame:
         def f(b: pa.RecordBatch) -> pa.RecordBatch:
             texts = b.column(2).to_pylist()
             toks = [crf.tokens(t) for t in texts]
-            language, sure, parts = [], [], []
-            for t, (m, _) in zip(toks, tagger.marginals(toks)):
-                if not len(m):
-                    language.append(None), sure.append(None), parts.append([])
-                    continue
-                total = m.sum(axis=0)
-                k = int(total.argmax())
-                language.append(LANGUAGES[k])
-                sure.append(float(total[k]) / len(m))
-                seg = segments(t, m) if total[k] < len(m) - 2 and len(m) >= 2 * SEGMENT_WORDS else []
-                parts.append([{"language": LANGUAGES[c], "word": a, "words": n, "confidence": s} for c, a, n, s in seg] if len({x[0] for x in seg}) > 1 else [])
+            m, bounds = tagger.marginals(toks)
+            some = np.flatnonzero(np.diff(bounds))
+            total, n = np.zeros((len(toks), len(LANGUAGES))), np.diff(bounds)
+            if len(some):
+                total[some] = np.add.reduceat(m, bounds[some], axis=0)
+            best = total.argmax(axis=1)
+            most = total[np.arange(len(toks)), best]
+            language = [LANGUAGES[k] if c else None for k, c in zip(best.tolist(), n.tolist())]
+            sure = [x / c if c else None for x, c in zip(most.tolist(), n.tolist())]
+            parts: list[list[dict]] = [[] for _ in toks]
+            for k in np.flatnonzero((most < n - 2) & (n >= 2 * SEGMENT_WORDS)).tolist():
+                seg = segments(toks[k], m[bounds[k] : bounds[k + 1]])
+                if len({x[0] for x in seg}) > 1:
+                    parts[k] = [{"language": LANGUAGES[c], "word": a, "words": w, "confidence": s} for c, a, w, s in seg]
             votes = [quality.votes(t) for t in texts]
             return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(votes, INT), pa.array(language, TEXT), pa.array(sure, REAL), pa.array(parts, schema.field("segments").type)], schema=schema)
 
