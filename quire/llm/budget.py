@@ -78,17 +78,15 @@ def piece_tokens(pieces: DataFrame, tokens: list[bytes] | None = None) -> DataFr
 def totals(texts: DataFrame, slices: list[str], text: str = "text", tokens: list[bytes] | None = None) -> DataFrame:
     """(*slices, records, tokens): rows and tokens of each slice; null is a slice of its own, a null or empty text has no tokens.
 
-    Each row counts; a caller that wants each record once hands each over once.
+    Each row counts; a caller that wants each record once hands each over once. A slice travels as the 64-bit hash of its columns.
     """
-    split = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    counted = texts.select(*slices, F.explode(split).alias("piece")).groupBy(*slices, "piece").agg(F.count("*").alias("n"))
-    counted = cut(counted)  # read twice
+    rows = texts.select(F.xxhash64(*(x for c in slices for x in (F.col(c), F.col(c).isNull()))).alias("slice"), *slices, F.col(text).alias("text"))
+    split = F.explode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
+    counted = cut(rows.select("slice", split.alias("piece")).groupBy("slice", "piece").agg(F.count("*").alias("n")))  # read twice
     per = piece_tokens(counted.select("piece").distinct(), tokens)
-    tokens_of = counted.join(per, "piece").groupBy(*slices).agg(F.sum(F.col("n") * F.col("tokens")).alias("tokens"))
-    rows = texts.groupBy(*slices).agg(F.count("*").alias("records"))
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in slices]
-    both = rows.alias("a").join(tokens_of.alias("b"), on=same, how="left")
-    return both.select(*(F.col(f"a.{c}").alias(c) for c in slices), "records", F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"))
+    tokens_of = counted.join(per, "piece").groupBy("slice").agg(F.sum(F.col("n") * F.col("tokens")).alias("tokens"))
+    named = rows.groupBy("slice", *slices).agg(F.count("*").alias("records"))
+    return named.join(tokens_of, "slice", "left").select(*slices, "records", F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"))
 
 
 def sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
