@@ -243,7 +243,7 @@ class Model:
             g = np.bincount(owner, evidence[index], n)
             bar = 4.0
             for _ in range(ROUNDS):
-                best = [k for d in confirmed.tolist() if g[k := int(begin[d] + g[begin[d] : begin[d + 1]].argmax())] > bar]
+                best = [u for d in confirmed.tolist() if g[u := int(begin[d] + g[begin[d] : begin[d + 1]].argmax())] > bar]
                 if not best:  # nothing confirmed: the lexicon's own examples
                     best = np.flatnonzero(np.bincount(owner, prior_hit[index], n) > 4).tolist()
                 if not best or not len(free):
