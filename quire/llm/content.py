@@ -70,7 +70,7 @@ SIGNS = {"@": "аa", "0": "оo", "1": "иi", "3": "зe", "4": "чa", "6": "бb",
 UNITS = re.compile(r"(?<=[.!?…])[\s»”\"]+(?=[A-ZА-ЯЁІЇЄÄÖÜÀÉÈÊÇ«„“\"—–-])|\n+")
 SPACED = re.compile(r"\b[^\W\d_](?:[.\-_*·~ ][^\W\d_]\b){3,}")
 MIXED = regex.compile(r"[\p{L}\d@$!|€*]*(?:\p{L}[\d@$!|€*]|[\d@$!|€*]\p{L})[\p{L}\d@$!|€*]*")
-LONG = regex.compile(r"(\p{L})\1{2,}")
+REPEATED = regex.compile(r"(\p{L})\1{2,}")
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 CYRILLIC, LATIN = re.compile("[\u0400-\u052f]"), re.compile("[A-Za-z\u00c0-\u024f]")
 NEEDS = re.compile(r"[@$|€*]|[^\W\d_][\d!][^\W\d_]|([^\W\d_])\1\1")
@@ -98,7 +98,7 @@ def clear(text: str) -> str:
     text = SPACED.sub(lambda m: regex.sub(r"[^\p{L}]", "", m[0]), text)
     if CYRILLIC.search(text) and LATIN.search(text):
         text = LETTERS.sub(lambda m: settled(m[0]) if CYRILLIC.search(m[0]) and LATIN.search(m[0]) else m[0], text)
-    return LONG.sub(r"\1", MIXED.sub(_word, text)) if NEEDS.search(text) else text
+    return REPEATED.sub(r"\1", MIXED.sub(_word, text)) if NEEDS.search(text) else text
 
 
 
