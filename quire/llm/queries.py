@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, budget, content, forms, leaks, pieces, quality, splits, tongues
+from quire.llm import bpe, budget, content, forms, leaks, pieces, quality, scan, splits, tongues
 
 QUERIES = {
+    "p1_found": scan.p1_found,
+    "p1_text": scan.p1_text,
     "p2_found": tongues.p2_found,
     "p2_books": tongues.p2_books,
     "p2_segments": tongues.p2_segments,
