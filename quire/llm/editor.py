@@ -94,7 +94,7 @@ class WordEditor:
         best = edits[: pairs * 2]
         at = {(i, o): m for m, i, o in edits}
         for read, meant in confusions(self.script):  # several characters that were read for one
-            if len(read) > 1 and (i := word.find(read)) >= 0:
+            for i in (m for m in range(len(word) - len(read) + 1) if len(read) > 1 and word.startswith(read, m)):
                 own = [(at.get((i + k, o), 0.0), i + k, o) for k, o in enumerate(outputs(read, meant)) if o != word[i + k]]
                 add(own)
                 for e in best[:pairs]:

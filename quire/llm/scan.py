@@ -45,7 +45,9 @@ CELLS = re.compile(r"\.{4,}|[|│\t]|\s{3,}|,\s*\d")
 #: Bounds of the training samples; a word that is taken for right stands so often, and so many times as often as what was read for it.
 SAMPLE_WORDS, SAMPLE_TEXTS, SAMPLE_TITLES, OFTEN, TIMES = 6000, 1500, 400, 8, 25
 #: How much worse than keeping an edit may seem to the editor and still be looked up.
-LEEWAY = 12.0
+LEEWAY = 60.0
+#: How far the chooser of lines leans to headers, as an exact check follows for these, and to page numbers for lines of figures.
+LEAN = 20.0
 BITS = 24
 EXAMPLES = ["Старик ушёл домой, хотя никто об этом не просил.", "The old man went home before the gates were shut.", "Коли смеркло, дід пішов додому, а хлопець лишився.", "Двух- и трёхэтажные дома стояли у реки."]
 TITLES = ["Горький рубеж", "The Ancient Voice", "Зимний сад и окрестности"]
@@ -117,6 +119,8 @@ class Models:
     def _page(rng: random.Random, text: str, titles: list[str]) -> list[tuple[list[str], str]]:
         """The lines of a spoiled page: the sentence in lines with furniture among them, furniture alone, and lines that are neither."""
         title, n = rng.choice(titles), rng.randint(1, 899)
+        if rng.random() < 0.2:
+            title = f"{rng.choice(titles)}. {title}"
         title = title.upper() if rng.random() < 0.3 else title
         roman = rng.choice(["ii", "iv", "vii", "xii", "XIV", "xx"])
         number = rng.choice([f"{n}", f"— {n} —", f"[{n}]", f"- {n} -", f"стр. {n}", f"{n}.", f"· {n} ·", f"p. {n}", roman])
@@ -129,6 +133,9 @@ class Models:
         word = title.split()[0]
         alone = rng.choice([f"{rng.randint(1, 40)}. {title}", f"{word}, {n}, {n + 7}", f"{title} ........ {n}", f"{word} | {n} | {n / 7:.2f}", f"{word} — {title.lower()}", f"{n}\t{n * 3}\t{n / 9:.1f}", f"{n}. {text}", f"{word.lower()},", text[:40].rsplit(' ', 1)[0] + ","])
         out = [(shape_of_line(x, k, len(page)), op) for k, (x, op) in enumerate(page)]
+        bits = [x.strip().lower() + rng.choice([",", ",", ""]) for x in re.split("[,.;:!?]", text) if len(x.split()) > 1] * 3
+        verse = rng.sample(bits, min(len(bits), rng.randint(2, 5))) if bits else []
+        out += [(shape_of_line(x, k, len(verse)), "prose") for k, x in enumerate(verse)]
         return out + [(shape_of_line(furniture, 0, 1), op), (shape_of_line(alone, 0, 1), "prose"), (shape_of_line(text, 0, 1), "prose"), (shape_of_line(alone, 0, 2), "prose")]
 
     def _cuts(self, rng: random.Random, text: str, known: set[str]) -> list[tuple[list[str], str]]:
@@ -157,7 +164,18 @@ class Models:
         return [kind, line, f"small {small}", f"link {link}", f"whole {whole}", f"parts {parts}", f"{kind} {line} {small}", f"{line} link {link}", f"link {link} whole {whole}", f"{small} {link} {whole} {parts}", f"cut {min(len(left), 4)} {min(len(right), 4)}"]
 
     def furniture(self, lines: list[str]) -> list[str]:
-        return [self.lines.choose(shape_of_line(x, k, len(lines))) for k, x in enumerate(lines)]
+        """The operation for each line; a header begins with a capital or a figure."""
+        out = []
+        for k, x in enumerate(lines):
+            prose, header, pageno, both = self.lines.scores(shape_of_line(x, k, len(lines)))
+            first = regex.search(r"\p{L}", x)
+            if first and first[0].isupper():
+                header, both = header + LEAN, both + LEAN
+            elif PAGE.fullmatch(x) and any(map(str.isdigit, x)):
+                pageno += LEAN
+            s = (prose, header, pageno, both)
+            out.append(LINE_OPS[s.index(max(s))])
+        return out
 
     def cut_places(self, text: str, known) -> list[tuple[int, int]]:
         """Where the mark and the blank of a word that was cut begin and end."""
@@ -208,11 +226,14 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def train(spark: SparkSession, sf_dir: str, often: DataFrame, texts: DataFrame) -> Models:
-    """On at most SAMPLE_WORDS common words, SAMPLE_TEXTS sentences and SAMPLE_TITLES titles, those of the smallest hashes."""
+    """On at most SAMPLE_WORDS common words, SAMPLE_TEXTS sentences, SAMPLE_TITLES titles and as many authors, those of the smallest hashes."""
     words = [r.word for r in often.where("length(word) >= 4").orderBy(F.xxhash64("word", F.lit(1)), "word").limit(SAMPLE_WORDS).collect()]
     few = texts.where("position < 3 and length(text) between 20 and 300").orderBy(F.xxhash64("book_id", "position"), "text").limit(2 * SAMPLE_TEXTS).collect()
     clean = sorted({r.text for r in few if quality.votes(r.text) == 1})[:SAMPLE_TEXTS]
-    titles = [r.title for r in read(spark, sf_dir, "books_meta").select("title").where("title is not null").distinct().orderBy(F.xxhash64("title"), "title").limit(SAMPLE_TITLES).collect()]
+    titles = []
+    for c in ("title", "author"):
+        names = read(spark, sf_dir, "books_meta").select(F.col(c).alias("name")).where(F.length(c) > 3).distinct()
+        titles += [r.name for r in names.orderBy(F.xxhash64("name"), "name").limit(SAMPLE_TITLES).collect()]
     return Models(words, clean, titles)
 
 
