@@ -11,6 +11,8 @@ UDK = r"\bУДК\s*\d+(?:\.\d+)+\b"
 BBK = r"\bББК\s*\d+(?:\.\d+)+\b"
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 GARBAGE = {"isbn": ISBN, "udk": UDK, "bbk": BBK, "url": URL, "email": EMAIL}
+#: What a text with each of them holds, which is quick to see.
+SIGNS_OF = {"isbn": "ISBN", "udk": "УДК", "bbk": "ББК", "url": "://", "email": "@"}
 SHORT_GARBAGE = (r"^[\s\[\]\(\)\{\}\d\.\,\;\-]+$", r"^[\[\(]\d+[\]\)]\.?\s*$", r"^[Сс]\.\s*\d+\.?\s*$")
 LIST_MARKER = r"^\s*[•\-*•\d]+[\.\)]\s+"
 INDEX_LINE = r"[,\s]+\d+[\s,]*$"  # whatever comes before

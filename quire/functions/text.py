@@ -16,7 +16,9 @@ FIELDS = f"[{X.WS}]+"
 
 
 def trim(t: Column) -> Column:
-    return re2.replace(t, TRIM)
+    """Only a text that begins or ends in white space goes through the pattern."""
+    ends = F.concat(F.substring(t, 1, 1), F.substring(t, -1, 1))
+    return F.when(ends.rlike(f"[{X.WS}]"), re2.replace(t, TRIM)).otherwise(t)
 
 
 def sql_trim(t: str) -> str:
@@ -106,9 +108,11 @@ def with_reason(df: DataFrame, text: str = "text") -> DataFrame:
     s, low = F.col("trimmed"), F.col("_low")
     rows = df.withColumn("trimmed", trim(F.col(text))).withColumn("_low", F.lower("trimmed"))
     short = (F.length(s) < 10) & reduce(lambda a, b: a | b, (re2.matches(s, p) for p in X.SHORT_GARBAGE))
-    garbage = reduce(lambda a, b: a | b, (re2.matches(s, p) for p in X.GARBAGE.values())) | short
-    words, single = F.regexp_count(s, F.lit(f"[^{X.WS}]+")), F.regexp_count(s, F.lit(f"(?<![^{X.WS}])\\p{{L}}(?![^{X.WS}])"))
-    ocr = re2.matches(s, X.SPACED) | re2.matches(s, X.SPACED_START) | re2.matches(low, X.MIXED_WORD) | ((words > 5) & (single / words > 0.5)) | re2.matches(low, X.NO_LETTERS_RUN)
+    garbage = reduce(lambda a, b: a | b, (s.contains(X.SIGNS_OF[n]) & re2.matches(s, p) for n, p in X.GARBAGE.items())) | short
+    words = F.size(F.split(s, f"[{X.WS}]+"))
+    single = F.length(s) - F.length(F.regexp_replace(s, f"(?<![^{X.WS}])\\p{{L}}(?![^{X.WS}])", ""))
+    mixed = low.rlike("[0-9a-z_][а-яё]+[a-z]") & re2.matches(low, X.MIXED_WORD)  # a word begins there only after such a character
+    ocr = re2.matches(low, X.NO_LETTERS_RUN) | re2.matches(s, X.SPACED) | re2.matches(s, X.SPACED_START) | mixed | ((single > 2) & (words > 5) & (single / words > 0.5))
     n = F.length(s)
     digits = (re2.count(s, r"\p{L}") / n < 0.1) & (re2.count(s, "[0-9]") / n > 0.5)
     index = s.contains("\n") & index_share(s, True)

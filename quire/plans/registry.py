@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("profile", "sentence")
+MODULES = ("profile", "sentence", "language")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
