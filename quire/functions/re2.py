@@ -63,4 +63,4 @@ def sql_count(text: str, pattern: str) -> str:
 
 
 def sql_replace(text: str, pattern: str, by: str = "") -> str:
-    return f"regexp_replace({text}, {quoted(pattern)}, {quoted(re.sub(r'[$](\d)', chr(92) + r'\1', by))}, 'g')"
+    return f"regexp_replace({text}, {quoted(pattern)}, {quoted(by.replace('$', chr(92)))}, 'g')"

@@ -111,8 +111,9 @@ def with_reason(df: DataFrame, text: str = "text") -> DataFrame:
     garbage = reduce(lambda a, b: a | b, (s.contains(X.SIGNS_OF[n]) & re2.matches(s, p) for n, p in X.GARBAGE.items())) | short
     words = F.size(F.split(s, f"[{X.WS}]+"))
     single = F.length(s) - F.length(F.regexp_replace(s, f"(?<![^{X.WS}])\\p{{L}}(?![^{X.WS}])", ""))
+    pair = F.concat(F.lit(" "), s, F.lit(" ")).rlike(f"[{X.WS}]\\p{{L}}[{X.WS}]+\\p{{L}}[{X.WS}]")  # there is one where more than half of the words are letters
     mixed = low.rlike("[0-9a-z_][а-яё]+[a-z]") & re2.matches(low, X.MIXED_WORD)  # a word begins there only after such a character
-    ocr = re2.matches(low, X.NO_LETTERS_RUN) | re2.matches(s, X.SPACED) | re2.matches(s, X.SPACED_START) | mixed | ((single > 2) & (words > 5) & (single / words > 0.5))
+    ocr = re2.matches(low, X.NO_LETTERS_RUN) | re2.matches(s, X.SPACED) | re2.matches(s, X.SPACED_START) | mixed | (pair & (words > 5) & (single / words > 0.5))
     n = F.length(s)
     digits = (re2.count(s, r"\p{L}") / n < 0.1) & (re2.count(s, "[0-9]") / n > 0.5)
     index = s.contains("\n") & index_share(s, True)
