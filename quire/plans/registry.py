@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("profile", "sentence", "language", "document", "sampling", "packing")
+MODULES = ("profile", "sentence", "language", "document", "sampling", "packing", "tokens", "search")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
