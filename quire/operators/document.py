@@ -11,7 +11,6 @@ from quire.functions import text as T
 from quire.functions.re2 import sql_matches, sql_replace
 from quire.sources.tables import read
 
-TEXT = F.col("text")
 #: A book is removed from this share of garbage on, kept up to that one if its mean perplexity is below the bound. Fixed values.
 REMOVE, KEEP, PERPLEXITY = 0.7, 0.1, 500.0
 
@@ -22,16 +21,16 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document cleaned; one that is blank then is left out, as a book is."""
-    return _documents(spark, sf_dir).select("doc_id", T.clean_document(TEXT).alias("text")).where("text <> ''")
+    return _documents(spark, sf_dir).select("doc_id", T.clean_document(F.col("text")).alias("text")).where("text <> ''")
 
 
 def cjk_thai_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    has = re2.matches(TEXT, X.CJK_THAI)
-    return _documents(spark, sf_dir).select("doc_id", has.alias("had"), F.when(has, re2.replace(TEXT, X.CJK_THAI)).otherwise(TEXT).alias("text"))
+    has = re2.matches(F.col("text"), X.CJK_THAI)
+    return _documents(spark, sf_dir).select("doc_id", has.alias("had"), F.when(has, re2.replace(F.col("text"), X.CJK_THAI)).otherwise(F.col("text")).alias("text"))
 
 
 def acceptable_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).select("doc_id", re2.replace(TEXT, X.NOT_ACCEPTABLE).alias("text"))
+    return _documents(spark, sf_dir).select("doc_id", re2.replace(F.col("text"), X.NOT_ACCEPTABLE).alias("text"))
 
 
 def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +65,7 @@ def book_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def removed_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "removed_sentences").groupBy(F.coalesce("reason", F.lit("")).alias("reason")).agg(F.count("*").alias("n"), F.count_if(F.coalesce(TEXT, F.lit("")) == "").alias("empty"))
+    return read(spark, sf_dir, "removed_sentences").groupBy(F.coalesce("reason", F.lit("")).alias("reason")).agg(F.count("*").alias("n"), F.count_if(F.coalesce(F.col("text"), F.lit("")) == "").alias("empty"))
 
 
 QUERIES = {f.__name__: f for f in (doc_clean_text, cjk_thai_filter, acceptable_chars, filename_metadata, book_id_hash, book_decision, removed_reasons)}

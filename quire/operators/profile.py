@@ -13,7 +13,6 @@ from quire.operators.ordered import with_previous
 from quire.operators.sentence import RECORDS
 from quire.sources.tables import read, records
 
-TEXT = F.col("text")
 PERCENTS = (1, 5, 10, 25, 50, 75, 90, 95, 99)
 FULL = "sentences where text <> ''"
 
@@ -22,34 +21,36 @@ def _texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return read(spark, sf_dir, "sentences").where("text is not null and text <> ''").select(*columns, "text")
 
 
-#: Counters of the corpus: name, condition in Spark, condition in DuckDB.
-def counters() -> list[tuple[str, Column, str]]:
-    n = F.length("text")
-    out = [
-        ("russian", re2.matches(TEXT, X.RUSSIAN), sql_matches("text", X.RUSSIAN)), ("english", re2.matches(TEXT, X.ENGLISH), sql_matches("text", X.ENGLISH)),
-        ("shorter_20", n < 20, "length(text) < 20"), ("shorter_50", n < 50, "length(text) < 50"), ("longer_1000", n > 1000, "length(text) > 1000"), ("longer_2000", n > 2000, "length(text) > 2000"),
-    ]
-    for name, bounds in (("digit_ratio", (0.1, 0.3, 0.5)), ("punct_ratio", (0.3, 0.5)), ("uppercase_ratio", (0.5, 0.8))):
-        out += [(f"{name}_{round(100 * b)}", T.ratio(TEXT, name) > b, f"{T.sql_ratio('text', name)} > {b}") for b in bounds]
-    out.append(("list_marker", re2.matches(TEXT, X.LIST_MARKER), sql_matches("text", X.LIST_MARKER)))
-    out += [(n, TEXT.contains(X.SIGNS_OF[n]) & re2.matches(TEXT, p), sql_matches("text", p)) for n, p in X.GARBAGE.items()]
-    out.append(("index_entry", TEXT.contains("\n") & T.index_share(TEXT, False), T.sql_index_share("text", False)))
-    out.append(("hyphenated", TEXT.contains("-") & re2.matches(TEXT, X.HYPHENATED), sql_matches("text", X.HYPHENATED)))
-    return out
+def counters() -> dict[str, Column]:
+    """Conditions by name; SQL_COUNTERS has the same."""
+    t, n = F.col("text"), F.length("text")
+    out = {"russian": re2.matches(t, X.RUSSIAN), "english": re2.matches(t, X.ENGLISH), "shorter_20": n < 20, "shorter_50": n < 50, "longer_1000": n > 1000, "longer_2000": n > 2000}
+    out |= {f"{name}_{round(100 * b)}": T.ratio(t, name) > b for name, bounds in BOUNDS.items() for b in bounds}
+    out |= {"list_marker": re2.matches(t, X.LIST_MARKER)} | {k: t.contains(X.SIGNS_OF[k]) & re2.matches(t, p) for k, p in X.GARBAGE.items()}
+    return out | {"index_entry": t.contains("\n") & T.index_share(t, False), "hyphenated": t.contains("-") & re2.matches(t, X.HYPHENATED)}
+
+
+#: Bounds that shares are counted above. Fixed values.
+BOUNDS = {"digit_ratio": (0.1, 0.3, 0.5), "punct_ratio": (0.3, 0.5), "uppercase_ratio": (0.5, 0.8)}
+SQL_COUNTERS = {
+    "russian": sql_matches("text", X.RUSSIAN), "english": sql_matches("text", X.ENGLISH), "shorter_20": "length(text) < 20", "shorter_50": "length(text) < 50", "longer_1000": "length(text) > 1000", "longer_2000": "length(text) > 2000",
+    **{f"{name}_{round(100 * b)}": f"{T.sql_ratio('text', name)} > {b}" for name, bounds in BOUNDS.items() for b in bounds},
+    "list_marker": sql_matches("text", X.LIST_MARKER), **{k: sql_matches("text", p) for k, p in X.GARBAGE.items()}, "index_entry": T.sql_index_share("text", False), "hyphenated": sql_matches("text", X.HYPHENATED),
+}
 
 
 def corpus_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row, from one scan: rows, counters, sums, and the shortest and longest texts by the histogram's buckets."""
     bucket = F.least(F.floor(F.length("text") / 10), F.lit(1000))
     return _texts(spark, sf_dir).agg(
-        F.count("*").alias("sentences"), F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("bigint").alias("characters"), *(F.count_if(c).alias(name) for name, c, _ in counters()),
-        F.coalesce(F.sum(re2.count(TEXT, X.GREEK)), F.lit(0)).cast("bigint").alias("greek"), F.coalesce(F.sum(re2.count(TEXT, X.MATH)), F.lit(0)).cast("bigint").alias("math"),
+        F.count("*").alias("sentences"), F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("bigint").alias("characters"), *(F.count_if(c).alias(name) for name, c in counters().items()),
+        F.coalesce(F.sum(re2.count(F.col("text"), X.GREEK)), F.lit(0)).cast("bigint").alias("greek"), F.coalesce(F.sum(re2.count(F.col("text"), X.MATH)), F.lit(0)).cast("bigint").alias("math"),
         (F.min(bucket) * 10).cast("bigint").alias("least_length"), (F.max(bucket) * 10 + 10).cast("bigint").alias("most_length"),
     )
 
 
 def script_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ru, en = re2.matches(TEXT, X.RUSSIAN), re2.matches(TEXT, X.ENGLISH)
+    ru, en = re2.matches(F.col("text"), X.RUSSIAN), re2.matches(F.col("text"), X.ENGLISH)
     kind = F.when(ru & en, "mixed").when(ru, "russian").when(en, "english").otherwise("other")
     return _texts(spark, sf_dir).groupBy(kind.alias("script_class")).agg(F.count("*").alias("n"))
 
@@ -72,13 +73,13 @@ def length_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def per_book_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of each book; the garbage share counts every pattern, so it may be above 1."""
-    ru, en = re2.matches(TEXT, X.RUSSIAN), re2.matches(TEXT, X.ENGLISH)
+    ru, en = re2.matches(F.col("text"), X.RUSSIAN), re2.matches(F.col("text"), X.ENGLISH)
     mean = lambda c: F.round(F.avg(c), 6)
     flag = lambda c: mean(F.when(c, 1.0).otherwise(0.0))
-    garbage = sum((TEXT.contains(X.SIGNS_OF[n]) & re2.matches(TEXT, p)).cast("int") for n, p in X.GARBAGE.items())
+    garbage = sum((F.col("text").contains(X.SIGNS_OF[n]) & re2.matches(F.col("text"), p)).cast("int") for n, p in X.GARBAGE.items())
     return _texts(spark, sf_dir, "book_id").where("book_id is not null").groupBy("book_id").agg(
         F.count("*").alias("sentences"), mean(F.length("text")).alias("avg_length"), flag(ru & ~en).alias("russian_ratio"), flag(en & ~ru).alias("english_ratio"), flag(ru & en).alias("mixed_ratio"),
-        flag(T.ratio(TEXT, "digit_ratio") > 0.3).alias("digit_ratio_30"), flag(re2.matches(TEXT, X.LIST_MARKER)).alias("list_ratio"), mean(garbage).alias("garbage_ratio"),
+        flag(T.ratio(F.col("text"), "digit_ratio") > 0.3).alias("digit_ratio_30"), flag(re2.matches(F.col("text"), X.LIST_MARKER)).alias("list_ratio"), mean(garbage).alias("garbage_ratio"),
     )
 
 
@@ -86,10 +87,10 @@ def problem_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(book_id, rank, example): each book's first five repeats, broken sentences and index entries. Five a block, then five a book."""
     rows = with_previous(records(spark, sf_dir).where("text <> ''").withColumn("at", F.col("position")), "book_id", "position", ["text", "at"])
     cut = lambda t: F.when(F.length(t) > 80, F.concat(F.substring(t, 1, 80), F.lit("..."))).otherwise(t)
-    both = F.concat(F.col("prev_text"), F.lit(" "), TEXT)
-    dupe = (TEXT == F.col("prev_text")) & (F.col("position") == F.col("prev_at") + 1)
-    kinds = [(dupe, F.concat(F.lit("DUPE: "), cut(TEXT))), (T.broken_ending(F.col("prev_text")) & T.starts_lower(TEXT), F.concat(F.lit("BROKEN: "), cut(both)))]
-    kinds.append((TEXT.contains("\n") & T.index_share(TEXT, False), F.concat(F.lit("INDEX: "), cut(F.replace(TEXT, F.lit("\n"), F.lit(" / "))))))
+    both = F.concat(F.col("prev_text"), F.lit(" "), F.col("text"))
+    dupe = (F.col("text") == F.col("prev_text")) & (F.col("position") == F.col("prev_at") + 1)
+    kinds = [(dupe, F.concat(F.lit("DUPE: "), cut(F.col("text")))), (T.broken_ending(F.col("prev_text")) & T.starts_lower(F.col("text")), F.concat(F.lit("BROKEN: "), cut(both)))]
+    kinds.append((F.col("text").contains("\n") & T.index_share(F.col("text"), False), F.concat(F.lit("INDEX: "), cut(F.replace(F.col("text"), F.lit("\n"), F.lit(" / "))))))
     found = F.array_compact(F.array(*(F.when(c, F.struct(F.lit(k).alias("kind"), e.alias("example"))) for k, (c, e) in enumerate(kinds))))
     hits = rows.select("book_id", "position", F.explode(found).alias("x")).select("book_id", "position", "x.*", F.floor(F.col("position") / 4096).alias("block"))
     first = lambda df, *key: df.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy("position", "kind"))).where("rank <= 5")
@@ -119,7 +120,7 @@ _PHRASES = "select phrase, count(*) as n from (select unnest(string_split(text,
 _flag = lambda c: f"round(avg(case when {c} then 1.0::double else 0.0::double end), 6)"
 _cut = lambda t: f"case when length({t}) > 80 then ({t})[1:80] || '...' else {t} end"
 SQL = {
-    "corpus_summary": f"""select count(*) as sentences, coalesce(sum(length(text)), 0)::bigint as characters, {", ".join(f"count(*) filter ({c}) as {name}" for name, _, c in counters())},
+    "corpus_summary": f"""select count(*) as sentences, coalesce(sum(length(text)), 0)::bigint as characters, {", ".join(f"count(*) filter ({c}) as {name}" for name, c in SQL_COUNTERS.items())},
         coalesce(sum({sql_count("text", X.GREEK)}), 0)::bigint as greek, coalesce(sum({sql_count("text", X.MATH)}), 0)::bigint as math, min({_BUCKET}) * 10 as least_length, max({_BUCKET}) * 10 + 10 as most_length from {FULL}""",
     "script_class_counts": f"""select case when ru and en then 'mixed' when ru then 'russian' when en then 'english' else 'other' end as script_class, count(*) as n
         from (select {_RU} as ru, {_EN} as en from {FULL}) group by 1""",

@@ -12,7 +12,6 @@ from quire.functions.re2 import sql_count, sql_matches
 from quire.operators.ordered import numbered, with_previous
 from quire.sources.tables import read, records
 
-TEXT = F.col("text")
 ROWS = "sentences where text is not null"
 RECORDS = "(select book_id, position, min(text) as text from sentences where book_id is not null and position is not null group by 1, 2)"
 
@@ -23,21 +22,21 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sentence_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares, counts of Greek letters and mathematical signs, and the text cut to 80 characters; an empty text has zeros."""
-    short = F.when(F.length("text") > 80, F.concat(F.substring("text", 1, 80), F.lit("..."))).otherwise(TEXT)
-    return _rows(spark, sf_dir).select("book_id", "position", *(T.ratio(TEXT, n).alias(n) for n in T.SHARES), re2.count(TEXT, X.GREEK).cast("bigint").alias("greek"), re2.count(TEXT, X.MATH).cast("bigint").alias("math"), short.alias("short"))
+    short = F.when(F.length("text") > 80, F.concat(F.substring("text", 1, 80), F.lit("..."))).otherwise(F.col("text"))
+    return _rows(spark, sf_dir).select("book_id", "position", *(T.ratio(F.col("text"), n).alias(n) for n in T.SHARES), re2.count(F.col("text"), X.GREEK).cast("bigint").alias("greek"), re2.count(F.col("text"), X.MATH).cast("bigint").alias("math"), short.alias("short"))
 
 
 def garbage_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(spark, sf_dir).select("book_id", "position", *(re2.matches(TEXT, p).alias(n) for n, p in X.GARBAGE.items()))
+    return _rows(spark, sf_dir).select("book_id", "position", *(re2.matches(F.col("text"), p).alias(n) for n, p in X.GARBAGE.items()))
 
 
 def list_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(spark, sf_dir).where(re2.matches(TEXT, X.LIST_MARKER)).select("book_id", "position")
+    return _rows(spark, sf_dir).where(re2.matches(F.col("text"), X.LIST_MARKER)).select("book_id", "position")
 
 
 def index_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both variants: of all lines, and of those that aren't empty."""
-    flags = _rows(spark, sf_dir).select("book_id", "position", T.index_share(TEXT, False).alias("of_all"), T.index_share(TEXT, True).alias("of_full"))
+    flags = _rows(spark, sf_dir).select("book_id", "position", T.index_share(F.col("text"), False).alias("of_all"), T.index_share(F.col("text"), True).alias("of_full"))
     return flags.where("of_all or of_full")
 
 
@@ -69,16 +68,16 @@ def clean_removed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def symbol_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that the scrubber changes, with the characters it touched."""
-    return _rows(spark, sf_dir).select("book_id", "position", T.scrubbed(TEXT).alias("text"), T.touched(TEXT).cast("bigint").alias("touched")).where("touched > 0")
+    return _rows(spark, sf_dir).select("book_id", "position", T.scrubbed(F.col("text")).alias("text"), T.touched(F.col("text")).cast("bigint").alias("touched")).where("touched > 0")
 
 
 def symbol_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = T.touched(TEXT)
+    n = T.touched(F.col("text"))
     return _rows(spark, sf_dir).agg(F.count("*").alias("sentences"), F.count_if(n > 0).alias("cleaned"), F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("symbols"))
 
 
 def chunk_text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(spark, sf_dir).select("book_id", "position", T.chunk_text(TEXT).alias("text")).where("text <> ''")
+    return _rows(spark, sf_dir).select("book_id", "position", T.chunk_text(F.col("text")).alias("text")).where("text <> ''")
 
 
 def adjacent_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,12 +90,12 @@ def adjacent_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def broken_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that go on what the record with a text before left open."""
     rows = with_previous(records(spark, sf_dir).where("text <> ''"), "book_id", "position", ["text"])
-    return rows.where(T.broken_ending(F.col("prev_text")) & T.starts_lower(TEXT)).select("book_id", "position", "prev_text", "text")
+    return rows.where(T.broken_ending(F.col("prev_text")) & T.starts_lower(F.col("text"))).select("book_id", "position", "prev_text", "text")
 
 
 def context_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each record with the positions before and after, blank texts left out, joined by a blank."""
-    rows = records(spark, sf_dir).withColumn("text", F.when(T.trim(TEXT) != "", TEXT))
+    rows = records(spark, sf_dir).withColumn("text", F.when(T.trim(F.col("text")) != "", F.col("text")))
     out = rows
     for name, step in (("before", 1), ("after", -1)):
         out = out.join(rows.select("book_id", (F.col("position") + step).alias("position"), F.col("text").alias(name)), ["book_id", "position"], "left")
