@@ -25,6 +25,11 @@ def sql_trim(t: str) -> str:
     return sql_replace(t, TRIM)
 
 
+def with_text(df: DataFrame, made: Column, *keys: str, text: str = "text") -> DataFrame:
+    """keys and a text that is made, of rows where it is neither null nor empty. A condition on it would be pushed below and make it twice; an array of one or none isn't."""
+    return df.select(*keys, made.alias(text)).select(*keys, F.explode(F.filter(F.array(text), lambda x: x != "")).alias(text))
+
+
 def fields(t: Column) -> Column:
     """Words between white space; one empty word for a blank text."""
     return F.split(trim(t), re2.java(FIELDS))
@@ -177,23 +182,32 @@ def sql_chunk_text(t: str) -> str:
 
 
 def _line_kept(x: Column) -> Column:
-    n = F.length(x)
-    table = (F.octet_length(x) >= 20) & ((re2.count(x, r"\p{Nd}") + re2.count(x, r"\p{P}")) / n > 0.5)
-    works = reduce(lambda a, b: a | b, (re2.matches(x, p) for p in X.BIBLIOGRAPHIC))
-    noise = (n >= 10) & (re2.count(x, r"\p{L}") / n < 0.3)
-    return ~(F.coalesce(table, F.lit(False)) | works | F.coalesce(noise, F.lit(False)))
-
-
-def clean_document(t: Column) -> Column:
-    """The whole chain of cleaning a text, in its order."""
-    out = reduce(lambda x, step: re2.replace(x, *step), X.TEXT_STEPS, t)
-    out = F.array_join(F.filter(F.split(out, "\n", -1), _line_kept), "\n")
-    out = re2.replace(re2.replace(out, X.SYMBOLS), X.RULE_LINE)
-    out = F.array_join(F.filter(F.split(out, "\n", -1), lambda x: trim(x) != ""), "\n")
-    out = re2.replace(F.regexp_replace(out, "[ \t]+", " "), X.BEFORE_SIGN, "$1")
-    out = reduce(lambda x, p: re2.replace(x, p), X.WORD_XML, out)
-    out = F.array_join(F.filter(F.split(out, "\n", -1), lambda x: (trim(x) != "") & ~re2.matches(trim(x), r"^[\s<>/]+$")), "\n")
-    return trim(out)
+    n, letters = F.length(x), re2.count(x, r"\p{L}")
+    # Only a line of which no more than half are letters can be one of figures and signs, or noise.
+    table = (F.octet_length(x) >= 20) & (letters / n < 0.5) & ((re2.count(x, r"\p{Nd}") + re2.count(x, r"\p{P}")) / n > 0.5)
+    works = x.rlike(r"[А-ЯЁ].*\d") & reduce(lambda a, b: a | b, (re2.matches(x, p) for p in X.BIBLIOGRAPHIC))
+    return ~(table | works | ((n >= 10) & (letters / n < 0.3)))
+
+
+#: What a text holds that a step can change, for the steps that few texts need; each is a necessary sign of the step's pattern.
+_SIGN_OF_STEP = {0: r"[\x{a0}\x{2007}\x{202f}]", 3: r"\p{L}-[\t\n\f\r ]", 4: "ISBN|УДК|ББК|ISSN|DOI", 5: r"(?m)^[\t\n\f\r ]*\d", 6: r"(?m)^[\t\n\f\r ]*\d", 7: r"(?m)^[\t\n\f\r ]*\d", 9: r"[А-Яа-яЁё]\d"}
+
+
+def clean_document(df: DataFrame, text: str = "text") -> DataFrame:
+    """The column cleaned by the whole chain, in its order. Each step is a column of its own, and a step that few texts need looks for its sign first."""
+    t = F.col(text)
+    step = lambda d, c: d.withColumn(text, c)
+    for k, (pattern, by) in enumerate(X.TEXT_STEPS):
+        done = re2.replace(t, pattern, by)
+        df = step(df, F.when(t.rlike(_SIGN_OF_STEP[k]), done).otherwise(t) if k in _SIGN_OF_STEP else done)
+    df = step(df, F.array_join(F.filter(F.split(t, "\n", -1), _line_kept), "\n"))
+    df = step(df, re2.replace(re2.replace(t, X.SYMBOLS), X.RULE_LINE))
+    df = step(df, F.array_join(F.filter(F.split(t, "\n", -1), lambda x: x.rlike(f"[^{X.WS}]")), "\n"))
+    df = step(df, re2.replace(F.regexp_replace(t, "[ \t]{2,}|\t", " "), X.BEFORE_SIGN, "$1"))
+    tags = reduce(lambda x, p: re2.replace(x, p), X.WORD_XML, t)
+    df = step(df, F.when(t.contains("w:") | t.contains(">"), tags).otherwise(t))
+    lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(f"[^{X.WS}]") & ~re2.matches(trim(x), r"^[\s<>/]+$"))
+    return step(step(df, F.array_join(lines, "\n")), trim(t))
 
 
 def sql_clean_document(t: str, source: str, keys: str) -> str:

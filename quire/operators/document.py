@@ -9,19 +9,19 @@ from quire.functions import fixed as X
 from quire.functions import re2
 from quire.functions import text as T
 from quire.functions.re2 import sql_matches, sql_replace
-from quire.sources.tables import read
+from quire.sources.tables import read, spread
 
 #: A book is removed from this share of garbage on, kept up to that one if its mean perplexity is below the bound. Fixed values.
 REMOVE, KEEP, PERPLEXITY = 0.7, 0.1, 500.0
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text")
+    return spread(read(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text"))
 
 
 def doc_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document cleaned; one that is blank then is left out, as a book is."""
-    return _documents(spark, sf_dir).select("doc_id", T.clean_document(F.col("text")).alias("text")).where("text <> ''")
+    return T.with_text(T.clean_document(_documents(spark, sf_dir), "text"), F.col("text"), "doc_id")
 
 
 def cjk_thai_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,7 +65,7 @@ def pack(rows: DataFrame, most: int, block: int = BLOCK) -> DataFrame:
 
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = records(spark, sf_dir).where("text is not null").select("book_id", "position", T.chunk_text(F.col("text")).alias("text")).where("text <> ''")
+    rows = T.with_text(records(spark, sf_dir).where("text is not null"), T.chunk_text(F.col("text")), "book_id", "position")
     split = F.when(F.substring(hash_of("book_id", "position"), 1, 8) < VALIDATION, "val").otherwise("train")
     return rows.select("book_id", split.alias("split"), "position", F.size(F.split("text", " ")).alias("tokens"), "text")
 

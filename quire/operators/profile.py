@@ -11,14 +11,14 @@ from quire.functions import text as T
 from quire.functions.re2 import sql_count, sql_matches
 from quire.operators.ordered import with_previous
 from quire.operators.sentence import RECORDS
-from quire.sources.tables import read, records
+from quire.sources.tables import read, records, spread
 
 PERCENTS = (1, 5, 10, 25, 50, 75, 90, 95, 99)
 FULL = "sentences where text <> ''"
 
 
 def _texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return read(spark, sf_dir, "sentences").where("text is not null and text <> ''").select(*columns, "text")
+    return spread(read(spark, sf_dir, "sentences").where("text is not null and text <> ''").select(*columns, "text"))
 
 
 def counters() -> dict[str, Column]:

@@ -10,14 +10,14 @@ from quire.functions import re2
 from quire.functions import text as T
 from quire.functions.re2 import sql_count, sql_matches
 from quire.operators.ordered import numbered, with_previous
-from quire.sources.tables import read, records
+from quire.sources.tables import read, records, spread
 
 ROWS = "sentences where text is not null"
 RECORDS = "(select book_id, position, min(text) as text from sentences where book_id is not null and position is not null group by 1, 2)"
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "sentences").where("text is not null").select("book_id", "position", "text")
+    return spread(read(spark, sf_dir, "sentences").where("text is not null").select("book_id", "position", "text"))
 
 
 def sentence_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,8 @@ def clean_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kept_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(book_id, position, text, prev_text) of the records that the reject chain keeps."""
-    kept = T.with_reason(records(spark, sf_dir).where("text is not null")).where("reason is null").select("book_id", "position", F.regexp_replace("trimmed", "[ \t]+", " ").alias("text"))
+    kept = T.with_reason(records(spark, sf_dir).where("text is not null"))
+    kept = T.with_text(kept, F.when(F.col("reason").isNull(), F.regexp_replace("trimmed", "[ \t]{2,}|\t", " ")), "book_id", "position")
     return with_previous(kept, "book_id", "position", ["text"])
 
 
@@ -77,7 +78,7 @@ def symbol_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(spark, sf_dir).select("book_id", "position", T.chunk_text(F.col("text")).alias("text")).where("text <> ''")
+    return T.with_text(_rows(spark, sf_dir), T.chunk_text(F.col("text")), "book_id", "position")
 
 
 def adjacent_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ MASKS, DISTANCE = 3, 3
 
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = records(spark, sf_dir).where("text is not null").select("book_id", "position", T.collapse(F.col("text")).alias("text")).where("text <> ''")
+    rows = T.with_text(records(spark, sf_dir).where("text is not null"), T.collapse(F.col("text")), "book_id", "position")
     return rows.withColumn("words", F.split("text", " "))
 
 
