@@ -216,7 +216,7 @@ class Model:
         begin = np.append(0, np.cumsum(size))
         n = int(size.sum())
         index, owner, value = f.of([*chain.from_iterable(docs)])
-        clean = np.array([not c for _, c in labelled] + [True] * len(unlabelled))
+        clean = np.array([not c for _, c in labelled] + [True] * len(unlabelled), bool)
         free = np.flatnonzero(clean[doc])  # what reviewers found clean is unlabelled text too: some of it isn't
         self.weights, self.bias, self.threshold = np.zeros((BUCKETS, len(CATEGORIES)), np.float32), np.full(len(CATEGORIES), -9.0), np.zeros(len(CATEGORIES))
         # How many documents have a feature: once for a document.
