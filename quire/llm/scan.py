@@ -293,7 +293,7 @@ def _seen(texts: DataFrame, known: Bloom, wrong: Bloom, models: Models) -> DataF
                         x = held[w] = o if 3 <= len(o) <= 24 and o in wrong else ""
                     if x:
                         bad.append(x)
-                if not (kinds or headers or bad) or quality.votes(text) & not_text and quality.votes(text) > 0:
+                if not (kinds or headers or bad) or (votes := quality.votes(text)) > 0 and votes & not_text:
                     continue
                 rows += [(book, at, k, None, False) for k in kinds] + [(book, at, "header", h, p) for h, p in headers]
                 if len(text.split()) > 1:
