@@ -42,18 +42,17 @@ PLAIN = re.compile(
     rf"(?!.*(?:,\s*\d|\d\s*[.,]\s*\d|  |\.\.\.\.))(?:— |[«\"„“])?[{UPPER}][{LOWER}]{{0,22}}"
     rf"(?:[ ,:;—–\-«»\"“”„'’?!.()\[\]]+(?:[{UPPER}]?[{LOWER}]{{1,22}}|\d{{1,4}}|[A-ZА-ЯІЄ]))*+[.!?…»”\"\]]+"
 )
-#: Nothing but what texts of the five languages are written with.
-USUAL = re.compile(rf"[{UPPER}{LOWER}\w\s.,;:!?…«»„“”\"'’‘()\[\]—–‐\-/№%§&*|│·•​-‏⁠﻿\xad¬́̆̈]*")
 BROKEN = re.compile(r"[ÐÑÃÂ][\x80-\xbf]|[РС][Ѐ-Џѐ-џ -¿‐-›°±µ]|â€|�|[\x80-\x9f]")
-ODD = re.compile(r"[^\w\s.,;:!?…«»„“”\"'’‘()\[\]—–‐\-/№%§&*|│·•​-‏⁠﻿\xad¬́̆̈]|[-𐌰-𐍏]")
+ODD = re.compile(r"[^\w\s.,;:!?…«»„“”\"'’‘()\[\]—–‐\-/№%§&*|│·•​-‏⁠﻿\xad¬́̆̈]|[𐌰-𐍏]")
 TAGS = re.compile(r"</?[\w:]+[^<>]*>|&[a-z]+;|&#\d+;|\{\\\w+|\[\[|\]\]|\{\{|\}\}|\w+=\"[^\"]*\"")
-MARKUP_SIGNS = re.compile(r"[<&{=]|\[\[")
+MARKUP_SIGNS = re.compile(r"[<&{}=]|\[\[|\]\]")
 BLOB = re.compile(r"[A-Za-z0-9+/=_]{24,}")
 WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*").findall
 LONG_WORDS = re.compile(r"[^\W\d_]{4,}").findall
 NO_VOWEL = re.compile(r"(?<![^\W_])[^\W\d_aeiouyаеёиоуыэюяіїєäöüàâéèêëîïôùûœæ]{4,}(?![^\W_])", re.I).findall
 SAYS = re.compile(r"[^\W\d_]|[^\s\w.,;:!?…«»„“”\"'’‘()\[\]—–‐\-/%&*#@\\]|\d\s+\d")
 CELLS = re.compile(r"\t+|[|│┃¦]|\s{2,}|;(?=\S)")
+NUMBERS = re.compile(r"\d+(?:[.,:/–-]\d+)*").findall
 BETWEEN_CELLS = re.compile(r"[\t|│┃¦;]|\s\s")
 DIGIT = re.compile(r"\d")
 FIGURE = re.compile(r"[-+−]?[\d\s.,/:]*\d[\d.,/:]*\s*[%‰°]?|[—–\-]+|n/?a")
@@ -84,33 +83,34 @@ FIGURES = ("words", "mean_word_length", "symbol_ratio", "lines_end_ratio", "comm
 
 
 def votes(text: str | None) -> int:
-    """The functions that fire, as bits; -1 for a text that says nothing: null, empty or a number alone."""
+    """The functions that fire, as bits; -1 for a text that says nothing: null, empty or a number alone.
+
+    Every function for another type than prose is asked of every text. The two weaker signs of prose are those of texts that aren't a plain
+    sentence, for which they would count the same evidence again. Cheap tests before an expression are conditions that its match needs.
+    """
     text = (text or "").strip()
-    if len(text) < 2000 and PLAIN.fullmatch(text) and 2 * len(set(words := text.split())) > len(words) > 2:
-        return _BIT["plain_sentence"]
-    if not SAYS.search(text):
-        return _BIT["symbols"] if len(text) > 15 and not any(map(str.isdigit, text)) else -1
-    out, tokens = 0, text.split()
-    if len(tokens) == 1 and text.isalpha() and len(text) < 20:
-        return 0
-    solid = max(1, sum(map(len, tokens)))
-    if not USUAL.fullmatch(text):
-        out |= _BIT["decoding"] * (2 * len(BROKEN.findall(text)) > 0.25 * solid) | _BIT["symbols"] * (len(ODD.findall(text)) > 0.25 * solid)
-    elif BROKEN.search(text) and 2 * len(BROKEN.findall(text)) > 0.25 * solid:
+    signs = False  # many signs and nothing else
+    if not SAYS.search(text) and not (signs := len(text) > 15 and not any(map(str.isdigit, text))) and len(NUMBERS(text)) < 2:
+        return -1
+    out, tokens, words = 0, text.split(), WORDS(text)
+    lengths = list(map(len, tokens))
+    solid = sum(lengths)
+    if plain := len(tokens) > 2 and PLAIN.fullmatch(text) is not None and 2 * len(set(tokens)) > len(tokens):
+        out |= _BIT["plain_sentence"]
+    elif 6 * sum(map(COMMON.__contains__, map(str.lower, tokens))) >= len(tokens):
+        out |= _BIT["common_words"]
+    if 2 * len(BROKEN.findall(text)) > 0.25 * solid:
         out |= _BIT["decoding"]
+    if signs or len(ODD.findall(text)) > 0.25 * solid:
+        out |= _BIT["symbols"]
     if MARKUP_SIGNS.search(text) and sum(map(len, TAGS.findall(text))) > 0.4 * solid:
         out |= _BIT["markup"]
-    if 6 * sum(w in COMMON for w in map(str.lower, tokens)) >= len(tokens):
-        out |= _BIT["common_words"]
-    else:  # what has the words of prose is no noise of letters
-        if max(map(len, tokens)) >= 24 and sum(map(len, BLOB.findall(text))) > 0.5 * solid or (bare := NO_VOWEL(text)) and len(bare) > 0.4 * len(LONG_WORDS(text)):
-            out |= _BIT["letters"]
-        if len(tokens) >= 5 and 3 * len(set(tokens)) <= 2 * len(tokens):
-            words = [w.lower() for w in WORDS(text)]
-            if len(words) >= 5 and max(Counter(words).values()) > 0.6 * len(words):
-                out |= _BIT["one_word"]
+    if max(lengths) >= 24 and sum(map(len, BLOB.findall(text))) > 0.5 * solid or (bare := NO_VOWEL(text)) and len(bare) > 0.4 * len(LONG_WORDS(text)):
+        out |= _BIT["letters"]
+    if len(words) >= 5 and 5 * len(set(map(str.lower, words))) < 2 * len(words) + 5 and max(Counter(map(str.lower, words)).values()) > 0.6 * len(words):
+        out |= _BIT["one_word"]
     lines = [x for x in map(str.strip, text.split("\n")) if x]
-    n = Counter()
+    n = dict.fromkeys(_BIT, 0)
     for line in lines:
         digits = DIGIT.search(line) is not None
         if BETWEEN_CELLS.search(line):
@@ -122,14 +122,14 @@ def votes(text: str | None) -> int:
         if digits:
             parts = line.split()
             n["numbers"] += len(parts) >= 3 and sum(FIGURE.fullmatch(x) is not None for x in parts) > 0.7 * len(parts)
-        if digits and (CONTENTS.search(line) or line.rstrip(" ,.;")[-1:].isdigit() and INDEX.match(line)) or (digits or "also" in line or "также" in line or "ISBN" in line) and WORKS.search(line):
+        if digits and (line[-1].isdigit() and CONTENTS.search(line) or INDEX.match(line)) or (digits or "also" in line or "также" in line or "ISBN" in line) and WORKS.search(line):
             n["entries"] += 1
-        elif (m := MARK.match(line)) and not YEAR.match(line):
+        if (m := MARK.match(line)) and not YEAR.match(line):
             rest = line[m.end() :]
             n["markers"] += not (END.search(rest) and (len(rest.split()) > 5 or not line[0].isalnum()))
-        elif (" — " in line or " – " in line) and GLOSS.match(line):
+        if ("—" in line or "–" in line) and GLOSS.match(line):
             n["glosses"] += 1
-        n["lines_end"] += END.search(line[-4:]) is not None
+        n["lines_end"] += not plain and END.search(line) is not None
     for name, k in n.items():
         if 2 * k > len(lines):
             out |= _BIT[name]

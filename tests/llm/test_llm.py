@@ -175,6 +175,17 @@ def test_votes_and_model():
     assert abs(m.posterior(0).sum() - 1) < 1e-9 and quality.Model({}).posterior(0).argmax() == 0
 
 
+def test_votes_of_every_function():
+    """A plain sentence and common words keep no function for another type from firing; a row of figures says something; a page number doesn't."""
+    names = lambda t: {n for n, b in quality._BIT.items() if quality.votes(t) > 0 and quality.votes(t) & b}
+    assert names("Старик ушёл домой не на шутку.") == {"plain_sentence"}
+    assert names("Вдрг сткр мстр дбр пшл к рке.") >= {"plain_sentence", "letters"}  # no vowels in most of its words
+    assert "one_word" in names("и и и и и и и и")
+    assert "cells" in names("1881;8007;22,3;5547;87%") and "numbers" in names("1863     —     —     5239     —     —     8920")
+    assert "lines_end" in names("Ушёл ли он (как «говорят» [люди?]»)\"')")
+    assert quality.votes("— 55 —") == quality.votes("* * *") == quality.votes("12.") == -1 and "symbols" not in names("- xlii -")
+
+
 def test_crf():
     """Marginals against all label sequences, and held-out accuracy on texts that change language."""
     chain = crf.Chain(3)
