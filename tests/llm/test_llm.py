@@ -186,6 +186,20 @@ def test_votes_of_every_function():
     assert quality.votes("— 55 —") == quality.votes("* * *") == quality.votes("12.") == -1 and "symbols" not in names("- xlii -")
 
 
+@pytest.mark.parametrize("times", [0.1, 1, 100])
+def test_types_at_any_size(times):
+    """A type keeps the texts that only its functions fire on, however many texts there are."""
+    counts = {
+        "plain_sentence": 996_372, "common_words": 52_919, "common_words lines_end": 30_607, "": 25_481, "lines_end": 22_288, "markers": 9962, "letters": 6359, "entries": 5783, "cells ruled_cells": 3576,
+        "lines_end entries": 3549, "cells ruled_cells numbers": 3517, "one_word": 3414, "cells": 3142, "ruled_cells symbols": 3127, "cells numbers": 3113, "common_words markers": 3061, "glosses": 3003,
+        "markup": 2758, "numbers entries": 2614, "lines_end decoding letters": 2077, "decoding symbols": 1467, "symbols": 1320, "common_words glosses": 1247, "cells ruled_cells glosses": 812,
+    }
+    bits = {sum(quality._BIT[f] for f in fs.split()): n for fs, n in counts.items()}
+    m = quality.Model({p: max(1, round(n * times)) for p, n in bits.items()})
+    want = ["prose"] * 5 + "list junk list table list table junk table junk table list list junk list junk junk junk list table".split()
+    assert [m.kind(p) for p in bits] == want == [quality.TYPES[int(m.posterior(p).argmax())] for p in bits]
+
+
 def test_crf():
     """Marginals against all label sequences, and held-out accuracy on texts that change language."""
     chain = crf.Chain(3)
