@@ -3,7 +3,7 @@
 Texts are pre-split in the JVM and counted by slice and piece. The distinct pieces become arrays of symbols; round after round, their
 adjacent pairs are joined with the table of merges (a sorted array, met by binary search) and each piece's lowest-ranked merge is
 applied, until no pair of any piece can merge. Pieces don't depend on each other, so every partition converges by itself. A piece's
-tokens are its symbols then; joined back, they give the totals. Only the table of merges is broadcast, which the vocabulary bounds
+tokens are its symbols then; a piece travels with its counts by slice, and tokens times counts give the totals. Only the table of merges is broadcast, which the vocabulary bounds
 (50,256 tokens, about two merges each).
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.bpe import PATTERN, vocabulary
 from quire.llm.languages import code_of
-from quire.session import cut, ship
+from quire.session import ship
 from quire.sources.arrow import LONG, TEXT, batch, map_batches
 from quire.sources.tables import read, records
 
@@ -54,12 +54,12 @@ def converge(syms: np.ndarray, owner: np.ndarray, pairs: np.ndarray, made: np.nd
     return counts
 
 
-def piece_tokens(pieces: DataFrame, tokens: list[bytes] | None = None) -> DataFrame:
-    """(piece, tokens) of distinct non-null pieces."""
+def slice_tokens(pieces: DataFrame, tokens: list[bytes] | None = None) -> DataFrame:
+    """(slice, tokens), several rows a slice, of distinct non-null pieces (piece, slices, counts): a piece's slices and how often each has it."""
     ship(pieces.sparkSession)
     tokens = tokens or vocabulary()
     shared = pieces.sparkSession.sparkContext.broadcast((np.array([i for _, i in sorted((t[0], i) for i, t in enumerate(tokens) if len(t) == 1)], np.int64), *merges(tokens)))
-    schema = pa.schema([("piece", TEXT), ("tokens", LONG)])
+    schema = pa.schema([("slice", LONG), ("tokens", LONG)])
 
     def make():
         of_byte, pairs, made = shared.value
@@ -68,11 +68,19 @@ def piece_tokens(pieces: DataFrame, tokens: list[bytes] | None = None) -> DataFr
             raw = [p.encode() for p in b.column(0).to_pylist()]
             syms = of_byte[np.frombuffer(b"".join(raw), np.uint8)]
             owner = np.repeat(np.arange(len(raw)), [len(x) for x in raw])
-            return batch(schema, [b.column(0), pa.array(converge(syms, owner, pairs, made))])
+            counts = np.zeros(len(raw), np.int64)
+            made_of = converge(syms, owner, pairs, made)
+            counts[: len(made_of)] = made_of
+            slices, n = (b.column(k).flatten().to_numpy() for k in (1, 2))
+            n = n * np.repeat(counts, b.column(1).value_lengths().to_numpy())
+            order = np.argsort(slices, kind="stable")
+            slices = slices[order]
+            starts = np.flatnonzero(np.append(True, slices[1:] != slices[:-1]))
+            return batch(schema, [pa.array(slices[starts]), pa.array(np.add.reduceat(n[order], starts))])
 
         return f
 
-    return map_batches(pieces.select("piece"), make, schema)
+    return map_batches(pieces.select("piece", "slices", "counts"), make, schema)
 
 
 def totals(texts: DataFrame, slices: list[str], text: str = "text", tokens: list[bytes] | None = None) -> DataFrame:
@@ -82,9 +90,9 @@ def totals(texts: DataFrame, slices: list[str], text: str = "text", tokens: list
     """
     rows = texts.select(F.xxhash64(*(x for c in slices for x in (F.col(c), F.col(c).isNull()))).alias("slice"), *slices, F.col(text).alias("text"))
     split = F.explode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
-    counted = cut(rows.select("slice", split.alias("piece")).groupBy("slice", "piece").agg(F.count("*").alias("n")))  # read twice
-    per = piece_tokens(counted.select("piece").distinct(), tokens)
-    tokens_of = counted.join(per, "piece").groupBy("slice").agg(F.sum(F.col("n") * F.col("tokens")).alias("tokens"))
+    counted = rows.select("slice", split.alias("piece")).groupBy("slice", "piece").agg(F.count("*").alias("n"))
+    pieces = counted.groupBy("piece").agg(F.collect_list("slice").alias("slices"), F.collect_list("n").alias("counts"))  # in one order; neither is ever null
+    tokens_of = slice_tokens(pieces, tokens).groupBy("slice").agg(F.sum("tokens").alias("tokens"))
     named = rows.groupBy("slice", *slices).agg(F.count("*").alias("records"))
     return named.join(tokens_of, "slice", "left").select(*slices, "records", F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"))
 

@@ -68,6 +68,19 @@ def test_encode_and_totals(spark, encoder):
     assert bpe.encode(df.limit(0)).count() == budget.totals(df.limit(0), ["ids"]).count() == 0
 
 
+def test_totals_without_a_copy(spark, encoder, monkeypatch):
+    """Pieces and their counts are written nowhere to be joined again; many slices share pieces, and some texts have none."""
+    texts = [None, "", "Старик ушёл домой.", "banana banana aaaaaaa", " ", "Старик banana"]
+    rows = [(k % 31 or None, texts[k % 6] and f"{texts[k % 6]} {k % 5}") for k in range(600)]
+    df = spark.createDataFrame(rows, "of bigint, text string").repartition(5)
+    monkeypatch.delattr(type(df), "checkpoint")
+    got = budget.totals(df, ["of"])
+    want = Counter()
+    for (of, text), raw in zip(rows, encoder.encode([t or "" for _, t in rows])):
+        want[of] += len(raw) // 4
+    assert {r.of: (r.records, r.tokens) for r in got.collect()} == {of: (sum(o == of for o, _ in rows), want[of]) for of in want}
+
+
 @pytest.mark.parametrize("text", [LONG, "x" * 7001, "слово " * 900, "a.\n\n\n" + "b " * 1500 + "\n\nc" * 900, "я" * 2001, " " * 5000])
 def test_pieces(text):
     parts = pieces.pieces(text)
