@@ -63,6 +63,33 @@ WORKS = re.compile(r"[,:]\s*\d{4}\.\s*(?:[-—–]\s*)?\d+\s*(?:с|стор|p|pp
 GLOSS = re.compile(r"^[^\s—–:.!?][^—–:.!?\n]{0,40}\s+[—–]\s+[^.!?\n]{2,80}[;,]?$")
 END = re.compile(r"[.!?…][»”\"')\]]*$")
 YEAR = re.compile(r"(?:1[0-9]|20)\d\d[.)]\s")
+_OF_LINES = ("lines_end", "cells", "ruled_cells", "numbers", "entries", "markers", "glosses")
+#: What BETWEEN_CELLS has one of, unless two blanks; and what ODD, MARKUP_SIGNS, DIGIT or APART find or a match of BROKEN begins with, but the blank.
+APART = re.compile(r"[|│┃¦;\s]")
+NEEDED = re.compile(rf"{ODD.pattern}|[<&{{}}=\[\]]|\d|[|│┃¦;]|[^\S ]|[ÐÑÃÂРСâ\x80-\x9f]")
+
+
+def _one_byte(code: str) -> tuple[str, bytes, bytes, bytes]:
+    """A code; its bytes that aren't NEEDED; its bytes as c where NO_VOWEL finds them and v where other letters and figures are; and as small letters where WORDS does."""
+    own = [bytes([b]).decode(code, "ignore") for b in range(256)]
+    quiet = bytes(b for b, c in enumerate(own) if c and not NEEDED.search(c))
+    shape = "".join("c" if NO_VOWEL(c * 4) else "v" if c.isalnum() else " " for c in own)
+    return code, quiet, shape.encode(), b"".join(c.lower().encode(code) if WORDS(c) else b" " for c in own)
+
+
+_ONE_BYTE = [_one_byte(c) for c in ("cp1251", "cp1252")]
+
+
+def _look(text: str) -> tuple[str, bool, list]:
+    """(what is NEEDED of a text, whether NO_VOWEL may find something, its words in small letters); of a text that no one-byte code has, all of it is NEEDED."""
+    for code, quiet, shape, small in _ONE_BYTE:
+        try:
+            raw = text.encode(code)
+        except UnicodeEncodeError:
+            continue
+        words = list(map(str.lower, WORDS(text))) if "'" in text or "’" in text else raw.translate(small).split()
+        return raw.translate(None, quiet).decode(code), b" cccc" in b" " + raw.translate(shape), words
+    return text, True, list(map(str.lower, WORDS(text)))
 
 
 def figures(text: str) -> dict[str, float]:
@@ -92,37 +119,39 @@ def votes(text: str | None) -> int:
     signs = False  # many signs and nothing else
     if not SAYS.search(text) and not (signs := len(text) > 15 and not any(map(str.isdigit, text))) and len(NUMBERS(text)) < 2:
         return -1
-    out, tokens, words = 0, text.split(), WORDS(text)
+    out, tokens = 0, text.split()
+    needed, bare, words = _look(text)
     lengths = list(map(len, tokens))
     solid = sum(lengths)
     if plain := len(tokens) > 2 and PLAIN.fullmatch(text) is not None and 2 * len(set(tokens)) > len(tokens):
         out |= _BIT["plain_sentence"]
     elif 6 * sum(map(COMMON.__contains__, map(str.lower, tokens))) >= len(tokens):
         out |= _BIT["common_words"]
-    if 2 * len(BROKEN.findall(text)) > 0.25 * solid:
+    if 2 * len(needed) > 0.25 * solid and 2 * len(BROKEN.findall(text)) > 0.25 * solid:
         out |= _BIT["decoding"]
-    if signs or len(ODD.findall(text)) > 0.25 * solid:
+    if signs or len(needed) > 0.25 * solid and len(ODD.findall(text)) > 0.25 * solid:
         out |= _BIT["symbols"]
-    if MARKUP_SIGNS.search(text) and sum(map(len, TAGS.findall(text))) > 0.4 * solid:
+    if MARKUP_SIGNS.search(needed) and sum(map(len, TAGS.findall(text))) > 0.4 * solid:
         out |= _BIT["markup"]
-    if max(lengths) >= 24 and sum(map(len, BLOB.findall(text))) > 0.5 * solid or (bare := NO_VOWEL(text)) and len(bare) > 0.4 * len(LONG_WORDS(text)):
+    if max(lengths) >= 24 and sum(map(len, BLOB.findall(text))) > 0.5 * solid or bare and (bare := NO_VOWEL(text)) and len(bare) > 0.4 * len(LONG_WORDS(text)):
         out |= _BIT["letters"]
-    if len(words) >= 5 and 5 * len(set(map(str.lower, words))) < 2 * len(words) + 5 and max(Counter(map(str.lower, words)).values()) > 0.6 * len(words):
+    if len(words) >= 5 and 5 * len(set(words)) < 2 * len(words) + 5 and max(Counter(words).values()) > 0.6 * len(words):
         out |= _BIT["one_word"]
     lines = [x for x in map(str.strip, text.split("\n")) if x]
-    n = dict.fromkeys(_BIT, 0)
+    n, apart = dict.fromkeys(_OF_LINES, 0), "  " in text or APART.search(needed) is not None
     for line in lines:
-        digits = DIGIT.search(line) is not None
-        if BETWEEN_CELLS.search(line):
+        digits = needed != "" and DIGIT.search(line) is not None
+        if apart and BETWEEN_CELLS.search(line):
             cells = [c for c in map(str.strip, CELLS.split(line)) if c]
             if len(cells) >= 3:
                 given = sum(FIGURE.fullmatch(c) is not None for c in cells)
                 n["cells"] += 2 * given >= len(cells)
                 n["ruled_cells"] += any(x in line for x in "|│┃\t")
         if digits:
-            parts = line.split()
-            n["numbers"] += len(parts) >= 3 and sum(FIGURE.fullmatch(x) is not None for x in parts) > 0.7 * len(parts)
-        if digits and (line[-1].isdigit() and CONTENTS.search(line) or INDEX.match(line)) or (digits or "also" in line or "также" in line or "ISBN" in line) and WORKS.search(line):
+            parts = tokens if len(lines) == 1 else line.split()
+            solely = len(parts) - sum(map(str.isalpha, parts)) + parts.count("na")
+            n["numbers"] += len(parts) >= 3 and solely > 0.7 * len(parts) and sum(FIGURE.fullmatch(x) is not None for x in parts) > 0.7 * len(parts)
+        if digits and (line[-1].isdigit() and CONTENTS.search(line) or INDEX.match(line)) or (digits and len(needed) > 4 or "also" in line or "также" in line or "ISBN" in line) and WORKS.search(line):
             n["entries"] += 1
         if (m := MARK.match(line)) and not YEAR.match(line):
             rest = line[m.end() :]

@@ -199,6 +199,28 @@ def test_votes_of_every_function():
     assert quality.votes("— 55 —") == quality.votes("* * *") == quality.votes("12.") == -1 and "symbols" not in names("- xlii -")
 
 
+def test_votes_by_a_quick_look(monkeypatch):
+    """A sentence isn't searched for what a look at its bytes shows that it hasn't; the votes of any text are those without that look."""
+    rng = random.Random(6)
+    chars = [bytes([b]).decode(c, "ignore") for c in ("cp1251", "cp1252") for b in range(256)] + ["�", "−", "│", "\u2003", "😀", "İ", "na", " n/a", "ISBN ", "  ", "]]", ", 1884. 12 с", "вдрг", " schr", "мост "]
+    like = ["Старик ушёл домой, хотя никто не просил.", "Ха-ха! ха, ХА. ха: ха; l'ha", "1881;8007;22,3;5547;87%", "Замок, 12, 45–48", "СЂР°Р·РЅРѕРµ", "<p>вдрг</p>\n13. Schl мст", "Дом — жилище", "Гл. 1 ....... 12"]
+    texts = ["".join(rng.choices(chars, k=rng.randint(0, 20))) for _ in range(2000)]
+    for _ in range(4000):
+        t = list(rng.choice(like))
+        for _ in range(rng.randint(0, 4)):
+            t.insert(rng.randint(0, len(t)), rng.choice(chars) * rng.choice((1, 1, 3)))
+        texts.append("".join(t))
+    quick = list(map(quality.votes, texts))
+    assert quality.votes("na 5 na 7 n/a") & quality._BIT["numbers"] and all(any(v > 0 and v & b for v in quick) for b in quality._BIT.values())
+    with monkeypatch.context() as m:
+        m.setattr(quality, "_look", lambda t: (t, True, list(map(str.lower, quality.WORDS(t)))))
+        assert quick == list(map(quality.votes, texts))
+    for name in ("BROKEN", "ODD", "TAGS", "NO_VOWEL", "WORDS", "DIGIT", "BETWEEN_CELLS", "FIGURE", "INDEX", "WORKS"):
+        monkeypatch.delattr(quality, name)
+    for t in ("Дед ушёл домой, хотя никто не просил.", "Дід пішов додому — і не повернувся.", "The old man never came back.", "Der alte Mann ging über die Brücke."):
+        assert quality.votes(t) == quality._BIT["plain_sentence"]
+
+
 @pytest.mark.parametrize("times", [0.1, 1, 100])
 def test_types_at_any_size(times):
     """A type keeps the texts that only its functions fire on, however many texts there are."""
